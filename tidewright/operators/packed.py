@@ -18,6 +18,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewright.functions.text import strip
 from tidewright.session import broadcast_if_small, checkpointed
@@ -85,7 +86,7 @@ def resolve(skel: str) -> list[list[int]]:
     return items
 
 
-@F.pandas_udf("array<array<int>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
 def _resolve_all(skeletons: pd.Series) -> pd.Series:
     return skeletons.map(resolve)
 
