@@ -5,8 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import leakage, mojibake, tokenizer
-from tidewright.session import table
+from tidewright.llm import leakage, mojibake, places, tokenizer
+from tidewright.session import checkpointed, table
+
+
+def _places(spark: SparkSession, d: str) -> DataFrame:
+    contacts = table(spark, d, "contacts_enriched")
+    return places.places(checkpointed(places.addresses(contacts, "ID", "Address", "Address_Alternatives", "Location")), "ID")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of contacts that name the same street and number in the same town."""
+    found = places.pairs(_places(spark, d), "ID")
+    return found.select(F.col("id_a").cast("bigint").alias("id_a"), F.col("id_b").cast("bigint").alias("id_b"))
+
+
+def p2_places(spark: SparkSession, d: str) -> DataFrame:
+    """Every address with its standard place and how far it could be told."""
+    return _places(spark, d)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -35,7 +51,10 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return p9_found(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_restored": p4_restored, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items}
+QUERIES = {
+    "p2_found": p2_found, "p2_places": p2_places,
+    "p4_found": p4_found, "p4_restored": p4_restored, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items,
+}
 
 _WORDS = r"regexp_extract_all(replace(strip_accents(lower(text)), 'ß', 'ss'), '[\p{L}\p{N}]+')"
 _LEAKS = f"""
