@@ -145,7 +145,8 @@ def places(parsed: DataFrame, key: str) -> DataFrame:
     wide = local.groupBy("std_street").agg(F.sum("n").alias("n_wide"))
     local = local.join(wide, "std_street")
     sound = local.where(f"n_wide > {RARE}").select("std_town", "number", F.col("std_street").alias("near_street"), F.col("n_wide").alias("n_near"))
-    close = F.levenshtein("std_street", "near_street", 2)
+    short = F.regexp_replace(F.regexp_replace("near_street", "strasse$", "str"), "platz$", "pl")
+    close = F.least(*[F.when(F.levenshtein("std_street", x, 2) >= 0, F.levenshtein("std_street", x)) for x in (F.col("near_street"), short)])
     near = local.where(f"n_wide <= {RARE}").join(sound, ["std_town", "number"]).withColumn("_d", close).where("_d >= 0")
     near = near.groupBy("std_town", "number", "std_street").agg(F.min(F.struct("_d", (-F.col("n_near")).alias("m"), "near_street"))["near_street"].alias("near_street"))
     placed = placed.join(near, ["std_town", "number", "std_street"], "left").withColumn("std_street", F.coalesce("near_street", "std_street"))
