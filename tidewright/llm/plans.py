@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import leakage, mojibake, places, tokenizer
+from tidewright.llm import leakage, mojibake, names, places, tokenizer
 from tidewright.session import checkpointed, table
 
 
@@ -25,6 +25,20 @@ def p2_places(spark: SparkSession, d: str) -> DataFrame:
     return _places(spark, d)
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of rows whose names differ and denote one organisation, or one person of one organisation."""
+    contacts = table(spark, d, "contacts_raw")
+    classes = checkpointed(names.organisation_classes(contacts))
+    orgs = names.organisation_pairs(classes).withColumn("column_name", F.lit("Organisation_Name"))
+    found = orgs.unionByName(names.person_pairs(contacts, classes).withColumn("column_name", F.lit("Contact_Name")))
+    return found.select("column_name", F.col("id_a").cast("bigint").alias("id_a"), F.col("id_b").cast("bigint").alias("id_b"))
+
+
+def p3_organisations(spark: SparkSession, d: str) -> DataFrame:
+    """The organisation class of every row that tells one."""
+    return names.organisation_classes(table(spark, d, "contacts_raw"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Cells of Organisation_Name and Description that are damaged by a wrong encoding."""
     found = mojibake.damaged_cells(table(spark, d, "staging_all_rows"), "row_id", ["Organisation_Name", "Description"])
@@ -53,6 +67,7 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found, "p2_places": p2_places,
+    "p3_found": p3_found, "p3_organisations": p3_organisations,
     "p4_found": p4_found, "p4_restored": p4_restored, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items,
 }
 
