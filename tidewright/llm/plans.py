@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.text import NO_VALUE_WORDS
-from tidewright.llm import leakage, mojibake, names, places, survivors, tokenizer
+from tidewright.llm import leakage, mojibake, names, pii, places, survivors, tokenizer
 from tidewright.session import checkpointed, table
 
 
@@ -90,10 +90,21 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return p9_found(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Each distinct piece of personal information of each document, as written."""
+    return pii.pieces(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p10_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The texts with typed placeholders."""
+    return table(spark, d, "documents").select("doc_id", pii.redact("text").alias("text"))
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_places": p2_places,
     "p3_found": p3_found, "p3_organisations": p3_organisations,
     "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_records": p5_records, "p5_sources": p5_sources,
+    "p10_found": p10_found, "p10_texts": p10_texts,
     "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items,
 }
 
