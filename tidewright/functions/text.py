@@ -72,10 +72,26 @@ def _fold_table() -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
+@lru_cache(maxsize=1)
+def _expansions() -> dict[str, str]:
+    """Letters, fractions and signs whose compatibility decomposition is several characters (¼ to 1⁄4, ™ to TM, ﬁ to fi)."""
+    out = {}
+    for code in [*range(0xA0, 0x2C00), *range(0xFB00, 0xFB07)]:
+        base = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x))
+        if len(base) > 1 and base.isascii() | ("⁄" in base) and any(x.isalnum() for x in base):
+            out[chr(code)] = base
+    return out
+
+
 def fold_accents(c: Column | str) -> Column:
-    """Letters without their accents (ü to u, é to e); marks that stand alone are dropped; ß and ł stay."""
+    """Letters without their accents (ü to u, é to e), compatibility characters as plain ones; marks that stand alone are
+    dropped; ß and ł stay."""
     source, target = _fold_table()
-    return F.regexp_replace(F.translate(_c(c), source, target), r"\p{M}+", "")
+    c = _c(c)
+    table = F.create_map(*[F.lit(x) for kv in _expansions().items() for x in kv])
+    rare = "[" + "".join(_expansions()) + "]"
+    spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(table[x], x)), "")
+    return F.regexp_replace(F.translate(F.when(c.rlike(rare), spelled).otherwise(c), source, target), r"\p{M}+", "")
 
 
 def match_key(c: Column | str) -> Column:
