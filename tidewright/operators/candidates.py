@@ -108,6 +108,11 @@ def update_by_key(df: DataFrame, key: str, values: DataFrame, target: str, value
     return fill_with_source(df.join(found, key, "left"), target, F.col("_found"), label).drop("_found")
 
 
+def source_column(field: str) -> str:
+    """The column that tells where a field's value came from."""
+    return "Organisation_Nonprofit_Source" if field == "Organisation_Nonprofit_Status" else f"{field}_Source"
+
+
 def apply_metadata(contacts: DataFrame, best: DataFrame, fields: list[str]) -> DataFrame:
     """Contacts of eligible sites with the best candidates: earlier website values are recomputed, other values kept."""
     rows = eligible_sites(contacts)
@@ -115,15 +120,16 @@ def apply_metadata(contacts: DataFrame, best: DataFrame, fields: list[str]) -> D
     out = rows.join(picked, "site", "left")
     new = {}
     for f in fields:
-        kept = F.when(~c.from_website(f"{f}_Source"), val(f))
+        source = source_column(f)
+        kept = F.when(~c.from_website(source), val(f))
         new[f] = F.coalesce(kept, F.col(f"_{f}.value"))
-        new[f"{f}_Source"] = F.when(kept.isNotNull(), F.col(f"{f}_Source")).otherwise(F.when(F.col(f"_{f}").isNotNull(), c.source_label(F.col(f"_{f}.page_type"), v.METADATA_LABELS)))
+        new[source] = F.when(kept.isNotNull(), F.col(source)).otherwise(F.when(F.col(f"_{f}").isNotNull(), c.source_label(F.col(f"_{f}.page_type"), v.METADATA_LABELS)))
     return out.withColumns(new).drop(*[f"_{f}" for f in fields])
 
 
 def metadata_conflicts(contacts: DataFrame, best: DataFrame, fields: list[str]) -> DataFrame:
     """(ID, site, field, existing, candidate): kept values that differ from the best candidate but for case."""
-    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.when(~c.from_website(f"{f}_Source"), val(f)).alias("existing")) for f in fields]))
+    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.when(~c.from_website(source_column(f)), val(f)).alias("existing")) for f in fields]))
     rows = eligible_sites(contacts).select("ID", "site", cells.alias("x")).select("ID", "site", "x.*").where("existing is not null")
     both = rows.join(best.select("site", F.col("candidate_type").alias("field"), F.col("value").alias("candidate")), ["site", "field"])
     return both.where(F.lower(F.trim("existing")) != F.lower(F.trim("candidate"))).select("ID", "site", "field", "existing", "candidate")
