@@ -32,7 +32,7 @@ from tidewright.llm.mojibake import restore
 from tidewright.session import broadcast_if_small, checkpointed
 
 #: Names sampled as pivots: bounds the broadcast and the distances computed per name.
-PIVOTS = 256
+PIVOTS = 64
 #: Edit radius of names (two: a swap of neighbours costs two edits); shorter keys are matched exactly.
 RADIUS = 2
 SHORTEST = 9
