@@ -152,12 +152,15 @@ def unpair(text: str) -> str:
 
 
 _LOST = re.compile(r"�|(?<![\w?])\?+(?=[^\W\d_]{2})|(?<=[^\W\d_])\?+(?=[^\W\d_])")
-_ADDRESS_LIKE = re.compile(r"\S*[./=@]\S*\?\S*|\S*\?\S*[/=&]\S*")
-
 
 def lost_letters(text: str) -> bool:
     """A letter was replaced by U+FFFD, or by ``?`` inside or at the head of a word that is no web address."""
-    return "�" in text or ("?" in text and bool(_LOST.search(_ADDRESS_LIKE.sub(" ", text))))
+    if "�" in text:
+        return True
+    if "?" not in text:
+        return False
+    words = (w for w in text.split() if "?" in w and not ("/" in w or "=" in w or "@" in w or "." in w.rstrip(".")))
+    return any(_LOST.search(w) for w in words)
 
 
 def restore(text: str | None) -> tuple[bool, str | None]:

@@ -278,7 +278,7 @@ NOBODY = [
 @memo
 def _person_patterns() -> dict[str, re.Pattern]:
     return {
-        "other": re.compile(r"<[^>]*>|\S*@\S*|(?:https?://|www\.)\S*|\([^)]*\)|[\n\r\t;|].*|(?:\+|\b0)\d[\d\s()/.-]{4,}", re.S),
+        "other": re.compile(r"<[^>]*>|(?<!\S)\S*@\S*|(?:https?://|www\.)\S*|\([^)]*\)|[\n\r\t;|].*|(?:\+|\b0)\d[\d\s()/.-]{4,}", re.S),
         "title": re.compile(rf"^(?:{TITLES}(?![\w])[.\s/-]*)+"),
         "digit": re.compile(r"(?<=[^\W\d_])[0135](?=[^\W\d_])"),
     }

@@ -63,8 +63,8 @@ def _patterns() -> dict[str, re.Pattern]:
     last = rf"(?:(?:von|van|de|zu|der|den|di|du)[ ](?:der[ ])?)?{word}"
     return {
         "email": re.compile(
-            r"[\w+%-]+(?:\.[\w+%-]+)*(?:\s?@\s?|\s?[(\[{]\s?(?:at|ät|@)\s?[)\]}]\s?)[\w-]+(?:(?:\.|\s?[(\[{]\s?(?:dot|punkt|\.)\s?[)\]}]\s?)[\w-]+)+"
-            r"|[\w+%-]+(?:\.[\w+%-]+)*[ ](?:at|AT)[ ][\w-]+(?:(?:[ ](?:dot|DOT|punkt)[ ]|\.)[\w-]+)*[ ](?:dot|DOT|punkt)[ ][\w-]+",
+            r"(?<![\w+%.-])[\w+%-]+(?:\.[\w+%-]+)*(?:\s?@\s?|\s?[(\[{]\s?(?:at|ät|@)\s?[)\]}]\s?)[\w-]+(?:(?:\.|\s?[(\[{]\s?(?:dot|punkt|\.)\s?[)\]}]\s?)[\w-]+)+"
+            r"|(?<![\w+%.-])[\w+%-]+(?:\.[\w+%-]+)*[ ](?:at|AT)[ ][\w-]+(?:(?:[ ](?:dot|DOT|punkt)[ ]|\.)[\w-]+)*[ ](?:dot|DOT|punkt)[ ][\w-]+",
             re.I,
         ),
         "iban": re.compile(r"(?<![\w])[A-Z]{2}\d{2}(?:[ ]?\d{4}){3,7}(?:[ ]?\d{1,4})?(?![\w])"),
@@ -72,7 +72,7 @@ def _patterns() -> dict[str, re.Pattern]:
         "social": re.compile(r"(?<![\w])\d{2}[ ]?\d{6}[ ]?[A-Z][ ]?\d{3}(?![\w])|(?<!\w)[12][ ]?\d{2}[ ]?\d{2}[ ]?\d{2}[ ]?\d{3}[ ]?\d{3}(?:[ ]?\d{2})?(?!\w)"),
         "pass": re.compile(r"(?<![\w])(?=[A-Z0-9]*\d)[A-Z][A-Z0-9]{8,9}(?![\w])"),
         "card": re.compile(r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2,3}(?:[ -]?\d{1,3})?(?![\w-])"),
-        "phone": re.compile(r"(?<![\w/.,-])(?:\+\d{2}|00[1-9]\d|\(\+?0\d{1,5}\)|0[1-9]\d{1,4})(?:[ ]?\(0\))?(?:[ /.-]{0,3}\d+)+(?![\w])"),
+        "phone": re.compile(r"(?<![\w/.,-])(?:\+\d{2}|00[1-9]\d|\(\+?0\d{1,5}\)|0[1-9]\d{1,4})(?:[ ]?\(0\))?(?:[ /.-]{0,3}\d)+(?![\w])"),
         "address": re.compile(
             rf"(?:(?:{town})(?:,[ ]?|[ ]))?(?<![\w-]){street}[ ]+(?:[Nn][Rr]\.?[ ]*)?{number}(?![\w])(?:(?:,[ ]?|[ ]in[ ]|[ ]IN[ ]|[ ]à[ ]|[ ]|[ ]·[ ]){town})?"
         ),
