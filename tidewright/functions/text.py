@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -23,6 +24,11 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, and generated code that doesn't repeat it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column | str) -> Column:
     """Cut Unicode white space at both ends (``trim`` only knows U+0020); null stays null."""
     return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewright.functions import values as v
-from tidewright.functions.text import _c, clean, strip, val
+from tidewright.functions.text import _c, clean, let, strip, val
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://"
 
@@ -36,7 +36,10 @@ def bare_host(c: Column | str) -> Column:
 
 def url_key(c: Column | str) -> Column:
     """Grouping key: scheme (https by default) and host in lower case, path without ``/`` at its end and without ``;params``, query kept, fragment dropped."""
-    s = F.regexp_replace(strip(c), r"#.*$", "")
+    return let(F.regexp_replace(strip(c), r"#.*$", ""), _url_key)
+
+
+def _url_key(s: Column) -> Column:
     scheme = F.coalesce(F.nullif(F.lower(F.regexp_extract(s, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)), F.lit("")), F.lit("https"))
     rest = F.regexp_replace(s, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
     host = F.lower(F.regexp_extract(rest, r"^//([^/?]*)", 1))
@@ -85,11 +88,11 @@ def in_hosts(host: Column, hosts: list[str]) -> Column:
 
 
 def is_directory(c: Column | str) -> Column:
-    return in_hosts(bare_host(c), v.DIRECTORY_HOSTS)
+    return let(bare_host(c), lambda h: in_hosts(h, v.DIRECTORY_HOSTS))
 
 
 def is_blocked(c: Column | str) -> Column:
-    return in_hosts(bare_host(c), v.BLOCKED_HOSTS)
+    return let(bare_host(c), lambda h: in_hosts(h, v.BLOCKED_HOSTS))
 
 
 def effective_website(normalized: str = "Website_Normalized", website: str = "Website") -> Column:
