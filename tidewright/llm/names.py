@@ -285,7 +285,7 @@ def _person_patterns() -> dict[str, re.Pattern]:
 
 
 def parse_person(text: str | None) -> tuple[str | None, str | None, str | None]:
-    """(a, b, initial): two name parts in alphabetical order, or one part a (with the initial of the other, or without);
+    """(a, b, initial): two squeezed name parts in alphabetical order, or one part a (with the initial of the other, or without);
     all None for a text that names nobody. Middle initials are dropped; titles and text beside the name don't matter."""
     p = _person_patterns()
     if not text:
@@ -304,8 +304,8 @@ def parse_person(text: str | None) -> tuple[str | None, str | None, str | None]:
         return None, None, None
     if len(long) == 1:
         initial = next((w for w in parts if len(w) == 1), None)
-        return long[0], None, initial
-    a, b = sorted((long[0], long[-1]))
+        return squeeze(long[0]), None, initial
+    a, b = sorted((squeeze(long[0]), squeeze(long[-1])))
     return a, b, None
 
 
@@ -333,7 +333,7 @@ def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> Da
     full = rows.where("b is not null")
     persons = full.groupBy("org", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     # Nicknames: the pair with the full name, if the organisation has it; else with the first name it stands for.
-    table = F.create_map(*[F.lit(x) for kv in NICKNAMES.items() for x in kv])
+    table = F.create_map(*[F.lit(x) for kv in NICKNAMES.items() for x in map(squeeze, kv)])
     swaps = F.array(F.struct(F.col("a").alias("nick"), F.col("b").alias("other")), F.struct(F.col("b").alias("nick"), F.col("a").alias("other")))
     nick = persons.select("org", "a", "b", F.explode(swaps).alias("x")).where(table[F.col("x.nick")].isNotNull())
     nick = nick.select("org", "a", "b", "x.other", F.explode(F.split(table[F.col("x.nick")], " ")).alias("formal"))
@@ -342,8 +342,16 @@ def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> Da
     chosen = nick.join(formal, ["org", "fa", "fb"], "left").groupBy("org", "a", "b").agg(F.min(F.struct(F.coalesce(-F.col("fn"), F.lit(0)).alias("o"), "fa", "fb")).alias("c"))
     full = full.join(chosen, ["org", "a", "b"], "left").select("id", "t", "org", F.coalesce("c.fa", "a").alias("a"), F.coalesce("c.fb", "b").alias("b"))
     full = checkpointed(full)
+    # Half of a double name with the same first name is the bearer of the double name, if there is one only.
+    pairs_ = full.select("org", "a", "b").distinct()
+    halves = pairs_.select("org", "a", "b", F.explode(swaps).alias("x")).where(F.contains(F.col("x.nick"), F.lit("-")))
+    halves = halves.select("org", "a", "b", "x.other", F.explode(F.split("x.nick", "-")).alias("half")).where("half <> ''")
+    halves = halves.select("org", F.least("half", "other").alias("ha"), F.greatest("half", "other").alias("hb"), F.struct("a", "b").alias("double"))
+    halves = halves.groupBy("org", "ha", "hb").agg(F.min("double").alias("d"), F.count_distinct("double").alias("c")).where("c = 1").select("org", F.col("ha").alias("a"), F.col("hb").alias("b"), "d")
+    full = checkpointed(full.join(halves, ["org", "a", "b"], "left").select("id", "t", "org", F.coalesce("d.a", "a").alias("a"), F.coalesce("d.b", "b").alias("b")))
     bearers = full.select("org", "a", "b").distinct()
     ends = bearers.select("org", "a", "b", F.explode(F.array(F.struct(F.col("a").alias("w"), F.col("b").alias("rest")), F.struct(F.col("b").alias("w"), F.col("a").alias("rest")))).alias("e")).select("org", "a", "b", "e.*")
+    ends = ends.select("org", "a", "b", F.explode(F.array_distinct(F.concat(F.array("w"), F.split("w", "-")))).alias("w"), "rest").distinct()
     partial = rows.where("b is null").select("id", "t", "org", F.col("a").alias("w"), "initial")
     fits = F.col("initial").isNull() | F.col("rest").startswith(F.col("initial"))
     asked = partial.select("org", "w", "initial").distinct()
