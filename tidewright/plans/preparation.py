@@ -299,6 +299,18 @@ clusters AS (SELECT ID, org_key, cluster FROM named UNION ALL
   SELECT b.ID, b.org_key, coalesce(only_m.cl, sole.cl, 'o:') FROM b LEFT JOIN only_m ON only_m.org_key = b.org_key AND only_m.mail = b.mail LEFT JOIN sole ON sole.org_key = b.org_key WHERE b.org_key <> '' AND kind = 'n'
   UNION ALL SELECT ID, '', 'r:' || ID FROM b WHERE org_key = '')"""
 
+_B, _E = r"(?:^|[^\p{L}\p{N}_])", r"(?:$|[^\p{L}\p{N}_])"
+_COMPLETE = " + ".join(f"(CASE WHEN regexp_matches(coalesce(Address, ''), '{x}') THEN 1 ELSE 0 END)" for x in (
+    rf"(?i)[A-ZÄÖÜa-zäöüß]{{3,}}{v.STREET_ENDINGS})|[A-ZÄÖÜa-zäöüß]{{3,}}[\s\p{{Z}}]+(?:Straße|Str\.|Weg|Gasse|Platz|Allee|Ring|Damm|Ufer|Steig|Berg)", rf"{_B}\d{{1,4}}[\s\p{{Z}}]*[a-zA-Z]?{_E}", rf"{_B}\d{{5}}{_E}",
+    rf"Berlin|Hamburg|München|Köln|{_B}[A-ZÄÖÜ][a-zäöüß]{{3,}}{_E}"))
+_FORM = "CASE " + " ".join(f"WHEN regexp_matches(Organisation_Name, '(?i)" + p.replace(r"(?:\b|$)", r"(?:[^\p{L}\p{N}_]|$)") + f"') THEN '{x}'" for p, x, _ in v.LEGAL_FORMS) + " END"
+_HITS = "list_distinct(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(t, '(?i){p}') THEN '{k}' END" for p, k in v.TYPE_WORDS) + "], lambda q: q IS NOT NULL))"
+_KIND = "CASE WHEN form IS NOT NULL THEN CASE " + " ".join(f"WHEN form = '{x}' THEN '{k}'" for _, x, k in v.LEGAL_FORMS) + f" END WHEN len({_HITS}) = 1 THEN {_HITS}[1] END"
+_PRIORITY_K = _priority().replace("Contact_Name", "k.Contact_Name")
+_SITE_URL = r"(?i)(?:https?://|www\.)[^\s\p{Z},;|]+|(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?::[0-9]+)?(?:/[^\s\p{Z},;|]*)?"
+_CLUSTERED = _CLUSTERED + f""",
+w AS (SELECT k.* REPLACE (coalesce(list_filter(list_transform(regexp_extract_all({_joined([_clean('Website'), _clean('Website_Alternatives')])}, '{_SITE_URL}'), lambda u: {_CAND("regexp_replace(u, '[.,;:)]+$', '')")}), lambda u: u <> '')[1], '') AS Website) FROM k)"""
+
 ORACLE = {
     "email_domains": rf"SELECT row_id, CASE WHEN length({_clean('Email')}) - length(replace({_clean('Email')}, '@', '')) = 1 THEN lower(string_split({_clean('Email')}, '@')[-1]) ELSE '' END AS strict, CASE WHEN contains(Email, '@') THEN string_split({_clean('Email')}, '@')[-1] ELSE '' END AS last, CASE WHEN contains(Email, '@') THEN lower({_strip('substring(Email, instr(Email, chr(64)) + 1)')}) END AS first FROM staging_all_rows",
     "extracted_emails": f"SELECT ID, array_to_string({_EMAILS}, ' | ') AS emails FROM contacts_raw",
@@ -322,13 +334,13 @@ UNION ALL SELECT 'name from site', count(*) FILTER (NOT o AND (w OR d)) FROM t U
     "included_contacts": _MARKED + f" SELECT row_number() OVER (ORDER BY row_id) AS ID, row_id, CASE WHEN length({_clean('Email')}) - length(replace({_clean('Email')}, '@', '')) = 1 THEN lower(string_split({_clean('Email')}, '@')[-1]) ELSE '' END AS Email_Domain FROM m WHERE NOT by_email AND NOT by_org",
     "duplicate_emails": f"SELECT ID, Email FROM contacts_raw WHERE lower({_clean('Email')}) <> '' QUALIFY count(*) OVER (PARTITION BY lower({_clean('Email')})) > 1",
     "contact_clusters": _CLUSTERED + " SELECT ID, org_key, cluster FROM clusters",
-    "exclusion_reasons": _CLEANED.replace("\nWITH x", "\nWITH x") + rf""", s AS (SELECT ID, Organisation_Name <> '' AS o, contains(regexp_extract({_clean('Website')}, '.*'), '.') AS w, Email, Contact_Name, Organisation_Name FROM k)
-SELECT ID, 'x' AS Exclusion_Reason, 'x' AS name_review FROM s WHERE false""",
     "reviewed_contacts": """WITH v AS (SELECT trim(ID::VARCHAR) AS id, max(CASE WHEN selected = 'X' THEN 1 ELSE 0 END) AS chosen FROM duplicate_list WHERE to_verify = 'yes' GROUP BY ALL),
 e AS (SELECT trim(ID::VARCHAR) AS id, Organisation_Name, Contact_Name, Email, Phone FROM duplicate_list WHERE to_verify = 'yes' AND selected = 'X' GROUP BY ALL)
 SELECT c.ID, CASE WHEN e.id IS NOT NULL THEN e.Organisation_Name ELSE c.Organisation_Name END AS Organisation_Name, CASE WHEN e.id IS NOT NULL THEN e.Contact_Name ELSE c.Contact_Name END AS Contact_Name,
   CASE WHEN e.id IS NOT NULL THEN e.Email ELSE c.Email END AS Email, CASE WHEN e.id IS NOT NULL THEN e.Phone ELSE c.Phone END AS Phone
 FROM contacts_raw c LEFT JOIN v ON v.id = c.ID::VARCHAR LEFT JOIN e ON e.id = c.ID::VARCHAR WHERE v.id IS NULL OR v.chosen = 1""",
+    "address_scores": f"SELECT ID, ({_quality('Address')})::INT AS quality, ({_COMPLETE})::INT AS completeness FROM contacts_raw",
+    "legal_forms": f"WITH f AS (SELECT ID, {_FORM} AS form, coalesce(Description, '') AS t FROM contacts_raw) SELECT ID, form, {_KIND} AS kind, CASE WHEN form IN {_in(v.NONPROFIT_FORMS)} OR regexp_matches(t, '(?i){v.NONPROFIT_WORDS}') THEN 'Yes' WHEN form IN {_in(v.PROFIT_FORMS)} THEN 'No' ELSE 'Unclear' END AS nonprofit FROM f",
+    "recommended_rows": _CLUSTERED + f" SELECT c.org_key, c.cluster, arg_max(c.ID, ({_PRIORITY_K}, -c.ID)) AS recommended FROM clusters c JOIN w k ON k.ID = c.ID GROUP BY ALL",
     "website_domains": f"SELECT ID, {_CANDIDATE} AS candidate, {_DOMAIN} AS domain FROM contacts_raw",
 }
-ORACLE.pop("exclusion_reasons")
