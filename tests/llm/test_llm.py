@@ -83,6 +83,15 @@ def test_organisations_and_persons(spark):
     assert empty.count() == 0 and names.person_pairs(df.limit(0), empty).count() == 0
 
 
+def test_persons_two_edits_apart(spark):
+    texts = ["Valentin Jankmaan", "Valentin Jannmann", "Frau Jankmaan", "Alexander Berg", "Alexandra Berg", "Kim Rabe", "Kai Rabe", "Valentin Jankmaan"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "ID long, Contact_Name string")
+    org = df.select("ID", F.when(F.col("ID") == 7, "p").otherwise("o").alias("organisation"), F.lit("x").alias("spelled"))
+    assert {tuple(r) for r in names.person_pairs(df, org).collect()} == {(0, 1), (0, 2), (1, 2)}
+    near = spark.createDataFrame([("jankmann", "o"), ("jankmaan", "p"), ("jannmaan", "p")], "key string, org string")
+    assert {tuple(r) for r in names.radius_join(near, near, "key", scope=("org",)).where("key < known_key").collect()} == {("p", "jankmaan", "jannmaan", 1)}
+
+
 def test_person_parser():
     assert names.parse_person("Dipl.-Ing. Emanuel K. Witter-Rich 0221 4710631") == ("emanul", "witter-rich", None)
     assert names.parse_person("R. K0lbrich") == ("kolbrich", None, "r")

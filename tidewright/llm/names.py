@@ -9,7 +9,8 @@ within its nearest distance plus twice the radius (triangle inequality: no pair
 cell an exact radius join runs under the Levenshtein metric, behind the cheap bound on the two distances to the pivot.
 Keys without a town, initials and abbreviated words are resolved by the row's location or by the words that are left.
 
-Persons are compared within their organisation: parts of the name are brought to the standard spelling of the organisation,
+Persons are compared within their organisation: parts of the name are brought to the standard spelling of the organisation
+(one edit), the same radius join finds parts of it two edits apart, and persons whose parts are equal or so near are one;
 order is ignored, nicknames and initials stand for the first name they fit, a family name alone for its only bearer.
 
 Rows whose cell is missing or names nobody are left out. Exact repeats share a class and are no pair.
@@ -29,6 +30,7 @@ from tidewright.functions.memo import memo
 from tidewright.functions.text import is_missing, strip
 from tidewright.llm.edits import standard_spellings
 from tidewright.llm.mojibake import restore
+from tidewright.llm.pii import FIRST_NAMES
 from tidewright.session import broadcast_if_small, checkpointed
 
 #: Names sampled as pivots: bounds the broadcast and the distances computed per name.
@@ -36,6 +38,8 @@ PIVOTS = 64
 #: Edit radius of names (two: a swap of neighbours costs two edits); shorter keys are matched exactly.
 RADIUS = 2
 SHORTEST = 9
+#: Parts of a person's name of this length or more meet within the radius, shorter ones within one edit.
+SHORTEST_PART = 7
 #: A word of a name that is this rare may be a slip for a frequent one.
 RARE_WORD = 3
 
@@ -136,25 +140,25 @@ def own_hosts(rows: DataFrame) -> DataFrame:
     return totals.where((F.col("named") < 3) | (F.col("like") * 3 >= F.col("named"))).select("host")
 
 
-def radius_join(unknown: DataFrame, known: DataFrame, key: str, radius: int = RADIUS, pivots: int = PIVOTS) -> DataFrame:
-    """(key, known_key, distance) of every pair of distinct keys within ``radius`` edits, by metric-space partitioning.
+def radius_join(unknown: DataFrame, known: DataFrame, key: str, radius: int = RADIUS, pivots: int = PIVOTS, scope: tuple[str, ...] = ()) -> DataFrame:
+    """(scope, key, known_key, distance) of every pair of distinct keys within ``radius`` edits, by metric-space partitioning.
 
-    Both sides hold distinct keys and should be checkpointed. ``pivots`` known keys are sampled by hash and sent to the
+    Both sides hold distinct keys and should be checkpointed. Keys meet only where the columns of ``scope`` are equal. ``pivots`` known keys are sampled by hash and sent to the
     driver (the bound is the parameter). With an empty known side the result is empty.
     """
-    sample = [r[0] for r in known.select(key).orderBy(F.xxhash64(key), key).limit(pivots).collect()]
+    sample = [r[0] for r in known.select(key).distinct().orderBy(F.xxhash64(key), key).limit(pivots).collect()]
     if not sample:
-        return unknown.select(key, F.col(key).alias("known_key"), F.lit(0).alias("distance")).limit(0)
+        return unknown.select(*scope, key, F.col(key).alias("known_key"), F.lit(0).alias("distance")).limit(0)
     centres = F.array(*[F.lit(p) for p in sample])
     to_pivots = F.transform(centres, lambda p: F.levenshtein(F.col(key), p))
-    u = unknown.select(key, to_pivots.alias("_d")).withColumn("_du", F.array_min("_d"))
-    u = u.select(key, F.array_position("_d", F.col("_du")).cast("int").alias("cell"), "_du", F.length(key).alias("_lu"))
-    k = known.select(F.col(key).alias("known_key"), F.transform(centres, lambda p: F.levenshtein(F.col(key), p)).alias("_d"))
+    u = unknown.select(*scope, key, to_pivots.alias("_d")).withColumn("_du", F.array_min("_d"))
+    u = u.select(*scope, key, F.array_position("_d", F.col("_du")).cast("int").alias("cell"), "_du", F.length(key).alias("_lu"))
+    k = known.select(*scope, F.col(key).alias("known_key"), F.transform(centres, lambda p: F.levenshtein(F.col(key), p)).alias("_d"))
     near = F.transform("_d", lambda d, i: F.when(d <= F.array_min("_d") + 2 * radius, F.struct((i + 1).cast("int").alias("cell"), d.alias("_dk"))))
-    k = k.select("known_key", F.length("known_key").alias("_lk"), F.explode(F.array_compact(near)).alias("c")).select("known_key", "_lk", "c.*")
+    k = k.select(*scope, "known_key", F.length("known_key").alias("_lk"), F.explode(F.array_compact(near)).alias("c")).select(*scope, "known_key", "_lk", "c.*")
     close = (F.abs(F.col("_du") - F.col("_dk")) <= radius) & (F.abs(F.col("_lu") - F.col("_lk")) <= radius)
-    pairs = u.join(k, "cell").where(close).withColumn("distance", F.levenshtein(key, "known_key", radius)).where("distance >= 0")
-    return pairs.select(key, "known_key", "distance")
+    pairs = u.join(k, [*scope, "cell"]).where(close).withColumn("distance", F.levenshtein(key, "known_key", radius)).where("distance >= 0")
+    return pairs.select(*scope, key, "known_key", "distance")
 
 
 def organisation_classes(contacts: DataFrame, key: str = "ID") -> DataFrame:
@@ -317,6 +321,43 @@ def _parse_persons(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse_person(t) for t in texts], columns=["a", "b", "initial"])
 
 
+def _near_parts(rows: DataFrame) -> DataFrame:
+    """(org, w, v, d): parts of names of an organisation within the radius of each other; two known first names never are."""
+    given = F.array(*[F.lit(x) for x in sorted({squeeze(fold(n)) for n in [*FIRST_NAMES, *NICKNAMES, *" ".join(NICKNAMES.values()).split()]})])
+    parts = rows.select("org", F.explode(F.array_compact(F.array("a", "b"))).alias("w")).where(F.length("w") >= SHORTEST_PART).distinct()
+    parts = checkpointed(parts)
+    # The organisation parts the keys already; a few pivots bound the cells of the largest ones.
+    near = radius_join(parts, parts, "w", pivots=4, scope=("org",)).where("w <> known_key")
+    return near.where(~(F.array_contains(given, F.col("w")) & F.array_contains(given, F.col("known_key")))).select("org", "w", F.col("known_key").alias("v"), F.col("distance").alias("d"))
+
+
+def _followed(step: DataFrame) -> DataFrame:
+    """(node, target) with every chain of targets followed to its end. Each step leads upward in one order, so none is a cycle."""
+    at = checkpointed(step)
+    while True:
+        onward = at.select(F.col("node").alias("target"), F.col("target").alias("onward"))
+        at = checkpointed(at.join(onward, "target", "left").select("node", F.coalesce("onward", "target").alias("target"), F.col("onward").isNotNull().alias("moved")))
+        if not at.where("moved").limit(1).count():
+            return at.drop("moved")
+        at = at.drop("moved")
+
+
+def _slips(persons: DataFrame, near: DataFrame) -> DataFrame:
+    """(org, a, b, sa, sb): persons read as the nearest, then most frequent one of the organisation whose parts are equal or near."""
+    swaps = F.array(F.struct(F.col("a").alias("w"), F.col("b").alias("rest")), F.struct(F.col("b").alias("w"), F.col("a").alias("rest")))
+    one = persons.select("org", "a", "b", "n", F.explode(swaps).alias("x")).select("org", "a", "b", "n", "x.*").join(near, ["org", "w"])
+    one = checkpointed(one.select("org", "a", "b", "n", F.col("v").alias("p"), "rest", "d"))
+    both = one.join(near.select("org", F.col("w").alias("rest"), F.col("v").alias("q"), F.col("d").alias("e")), ["org", "rest"])
+    both = both.select("org", "a", "b", "n", F.least("p", "q").alias("sa"), F.greatest("p", "q").alias("sb"), (F.col("d") + F.col("e")).alias("d"))
+    read = one.select("org", "a", "b", "n", F.least("p", "rest").alias("sa"), F.greatest("p", "rest").alias("sb"), "d").unionByName(both)
+    there = persons.select("org", F.col("a").alias("sa"), F.col("b").alias("sb"), F.col("n").alias("m"))
+    node, target = F.concat_ws("", "org", "a", "b"), F.concat_ws("", "org", "sa", "sb")
+    upward = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (target < node))
+    best = read.join(there, ["org", "sa", "sb"]).where(upward).groupBy(node.alias("node")).agg(F.min(F.struct("d", (-F.col("m")).alias("m"), target.alias("target")))["target"].alias("target"))
+    parts = lambda c: F.split(c, "")
+    return _followed(best).select(parts("node")[0].alias("org"), parts("node")[1].alias("a"), parts("node")[2].alias("b"), parts("target")[1].alias("sa"), parts("target")[2].alias("sb"))
+
+
 def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> DataFrame:
     """(id_a, id_b) of rows whose Contact_Name differs and denotes one person of one organisation."""
     cells = contacts.select(F.col(key).alias("id"), F.col("Contact_Name").alias("t")).where(~is_missing("Contact_Name"))
@@ -331,6 +372,11 @@ def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> Da
     rows = rows.select("id", "t", "org", F.when(F.col("b").isNull(), F.col("sa")).otherwise(F.least("sa", "sb")).alias("a"), F.when(F.col("b").isNotNull(), F.greatest("sa", "sb")).alias("b"), "initial")
     rows = checkpointed(rows)
     full = rows.where("b is not null")
+    # Two edits: persons whose parts are within the radius of those of another.
+    near = checkpointed(_near_parts(rows))
+    slips = _slips(full.groupBy("org", "a", "b").agg(F.count(F.lit(1)).alias("n")), near)
+    slip = F.when(F.col("sa").isNotNull(), F.struct("a", "b")).alias("slip")
+    full = checkpointed(full.join(slips, ["org", "a", "b"], "left").select("id", "t", "org", slip, F.coalesce("sa", "a").alias("a"), F.coalesce("sb", "b").alias("b")))
     persons = full.groupBy("org", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     # Nicknames: the pair with the full name, if the organisation has it; else with the first name it stands for.
     table = F.create_map(*[F.lit(x) for kv in NICKNAMES.items() for x in map(squeeze, kv)])
@@ -340,7 +386,7 @@ def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> Da
     nick = nick.select("org", "a", "b", F.least("other", "formal").alias("fa"), F.greatest("other", "formal").alias("fb"))
     formal = persons.select("org", F.col("a").alias("fa"), F.col("b").alias("fb"), F.col("n").alias("fn"))
     chosen = nick.join(formal, ["org", "fa", "fb"], "left").groupBy("org", "a", "b").agg(F.min(F.struct(F.coalesce(-F.col("fn"), F.lit(0)).alias("o"), "fa", "fb")).alias("c"))
-    full = full.join(chosen, ["org", "a", "b"], "left").select("id", "t", "org", F.coalesce("c.fa", "a").alias("a"), F.coalesce("c.fb", "b").alias("b"))
+    full = full.join(chosen, ["org", "a", "b"], "left").select("id", "t", "org", "slip", F.coalesce("c.fa", "a").alias("a"), F.coalesce("c.fb", "b").alias("b"))
     full = checkpointed(full)
     # Half of a double name with the same first name is the bearer of the double name, if there is one only.
     pairs_ = full.select("org", "a", "b").distinct()
@@ -348,15 +394,18 @@ def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> Da
     halves = halves.select("org", "a", "b", "x.other", F.explode(F.split("x.nick", "-")).alias("half")).where("half <> ''")
     halves = halves.select("org", F.least("half", "other").alias("ha"), F.greatest("half", "other").alias("hb"), F.struct("a", "b").alias("double"))
     halves = halves.groupBy("org", "ha", "hb").agg(F.min("double").alias("d"), F.count_distinct("double").alias("c")).where("c = 1").select("org", F.col("ha").alias("a"), F.col("hb").alias("b"), "d")
-    full = checkpointed(full.join(halves, ["org", "a", "b"], "left").select("id", "t", "org", F.coalesce("d.a", "a").alias("a"), F.coalesce("d.b", "b").alias("b")))
+    full = checkpointed(full.join(halves, ["org", "a", "b"], "left").select("id", "t", "org", "slip", F.coalesce("d.a", "a").alias("a"), F.coalesce("d.b", "b").alias("b")))
     bearers = full.select("org", "a", "b").distinct()
     ends = bearers.select("org", "a", "b", F.explode(F.array(F.struct(F.col("a").alias("w"), F.col("b").alias("rest")), F.struct(F.col("b").alias("w"), F.col("a").alias("rest")))).alias("e")).select("org", "a", "b", "e.*")
     ends = ends.select("org", "a", "b", F.explode(F.array_distinct(F.concat(F.array("w"), F.split("w", "-")))).alias("w"), "rest").distinct()
+    # The bearer of a slip is also asked for by it. A lone part two edits away is not read so: nothing beside it supports that.
+    slipped = full.where("slip is not null").select("org", "a", "b", F.explode(F.array(F.struct(F.col("slip.a").alias("w"), F.col("slip.b").alias("rest")), F.struct(F.col("slip.b").alias("w"), F.col("slip.a").alias("rest")))).alias("e"))
+    ends = ends.unionByName(slipped.select("org", "a", "b", "e.*").distinct())
     partial = rows.where("b is null").select("id", "t", "org", F.col("a").alias("w"), "initial")
     fits = F.col("initial").isNull() | F.col("rest").startswith(F.col("initial"))
     asked = partial.select("org", "w", "initial").distinct()
-    only = asked.join(ends, ["org", "w"]).where(fits).groupBy("org", "w", "initial").agg(F.min(F.struct("a", "b")).alias("one"), F.count(F.lit(1)).alias("c")).where("c = 1")
+    only = asked.join(ends, ["org", "w"]).where(fits).groupBy("org", "w", "initial").agg(F.min(F.struct("a", "b")).alias("one"), F.count_distinct("a", "b").alias("c")).where("c = 1")
     only = only.select(F.col("org").alias("o2"), F.col("w").alias("w2"), F.col("initial").alias("i2"), "one")
     part = partial.join(only, (F.col("org") == F.col("o2")) & (F.col("w") == F.col("w2")) & F.col("initial").eqNullSafe(F.col("i2")), "left")
     part = part.select("id", "t", "org", F.coalesce("one.a", "w").alias("a"), F.coalesce("one.b", F.concat(F.lit("?"), F.coalesce("initial", F.lit("")))).alias("b"))
-    return _pairs(full.unionByName(part).select("id", F.concat_ws("\x1f", "org", "a", "b").alias("g"), "t"))
+    return _pairs(full.drop("slip").unionByName(part).select("id", F.concat_ws("\x1f", "org", "a", "b").alias("g"), "t"))
