@@ -92,6 +92,14 @@ def test_persons_two_edits_apart(spark):
     assert {tuple(r) for r in names.radius_join(near, near, "key", scope=("org",)).where("key < known_key").collect()} == {("p", "jankmaan", "jannmaan", 1)}
 
 
+def test_organisations_without_domain_and_short_names(spark):
+    names_ = ["Regenhof Crollost", "Regeenhof Crolost", "Regnhof Crrollost", "Kubikx", "Kubiik GmbH", "Blattx", "Blatx", "ABC", "ABD"]
+    rows = [(i, n, None) for i, n in enumerate(names_)] + [(20, "Kubik GmbH", "a@kubik.example")]
+    df = spark.createDataFrame(rows, "ID long, Organisation_Name string, Email string").withColumns({c: F.lit(None).cast("string") for c in ("Website", "Location")})
+    found = {tuple(r) for r in names.organisation_pairs(names.organisation_classes(df)).collect()}
+    assert found == {(0, 1), (0, 2), (1, 2), (3, 4), (3, 20), (4, 20), (5, 6)}
+
+
 def test_person_parser():
     assert names.parse_person("Dipl.-Ing. Emanuel K. Witter-Rich 0221 4710631") == ("emanul", "witter-rich", None)
     assert names.parse_person("R. K0lbrich") == ("kolbrich", None, "r")

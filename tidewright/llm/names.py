@@ -28,16 +28,18 @@ from pyspark.sql import types as T
 
 from tidewright.functions.memo import memo
 from tidewright.functions.text import is_missing, strip
-from tidewright.llm.edits import standard_spellings
+from tidewright.llm.edits import one_edit, standard_spellings
 from tidewright.llm.mojibake import restore
 from tidewright.llm.pii import FIRST_NAMES
 from tidewright.session import broadcast_if_small, checkpointed
 
 #: Names sampled as pivots: bounds the broadcast and the distances computed per name.
 PIVOTS = 64
-#: Edit radius of names (two: a swap of neighbours costs two edits); shorter keys are matched exactly.
+#: Edit radius of names (two: a swap of neighbours costs two edits); keys below SHORTEST letters meet within one edit or swap,
+#: those below SHORTEST_SLIP (initials, where one letter makes another name) exactly.
 RADIUS = 2
 SHORTEST = 9
+SHORTEST_SLIP = 5
 #: Parts of a person's name of this length or more meet within the radius, shorter ones within one edit.
 SHORTEST_PART = 7
 #: A word of a name that is this rare may be a slip for a frequent one.
@@ -190,20 +192,36 @@ def organisation_classes(contacts: DataFrame, key: str = "ID") -> DataFrame:
     open_ = checkpointed(open_.select("id", "name", "key", "bag", "words", "loc", "found"))
     rest = checkpointed(open_.where("found is null").select("key", "bag", "words", "loc").distinct())
     spelled = _by_standard_words(rest, rows, by_key, by_bag)
-    long = rest.join(spelled, "key", "left_anti").where(F.length("key") >= SHORTEST).select("key").distinct()
-    near = radius_join(checkpointed(long), by_key.where(F.length("key") >= SHORTEST), "key").join(by_key.withColumnRenamed("key", "known_key"), "known_key")
+    asked = rest.join(spelled, "key", "left_anti").where(F.length("key") >= SHORTEST_SLIP).select("key").distinct()
+    near = _by_length(radius_join(checkpointed(asked), checkpointed(by_key.where(F.length("key") >= SHORTEST_SLIP)), "key")).join(by_key.withColumnRenamed("key", "known_key"), "known_key")
     least = near.groupBy("key", "key_host").agg(F.min("distance").alias("d")).groupBy("key").agg(F.min("d").alias("m"), F.collect_list(F.struct("d", "key_host")).alias("all"))
     least = least.withColumn("best", F.filter("all", lambda x: x["d"] == F.col("m"))).where(F.size("best") == 1).select("key", F.col("best")[0]["key_host"].alias("near_host"))
     short = _by_words(rest, told)
-    # Keys without any domain: the standard spelling among themselves.
+    # Keys without any domain: the standard spelling among themselves, then what is left within the radius.
     bags = open_.where("found is null").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    alone = standard_spellings(bags, [], "key", ratio=1, shortest=SHORTEST).withColumnRenamed("standard", "std_key")
+    alone = standard_spellings(bags, [], "key", ratio=1, shortest=SHORTEST_SLIP).withColumnRenamed("standard", "std_key")
     open_ = open_.join(spelled, "key", "left").join(least, "key", "left").join(short, ["key", "loc"], "left").join(alone, "key", "left")
-    open_ = open_.select("id", F.coalesce("found", "spelled_host", "near_host", "word_host", F.concat(F.lit("name:"), F.coalesce("std_key", "key"))).alias("organisation"), F.col("name").alias("spelled"))
+    open_ = checkpointed(open_.select("id", F.col("name").alias("spelled"), F.coalesce("found", "spelled_host", "near_host", "word_host").alias("host"), F.coalesce("std_key", "key").alias("own")))
+    slips = _own_spellings(open_.where("host is null").groupBy(F.col("own").alias("key")).agg(F.count(F.lit(1)).alias("n")))
+    open_ = open_.join(slips.select(F.col("node").alias("own"), "target"), "own", "left")
+    open_ = open_.select("id", F.coalesce("host", F.concat(F.lit("name:"), F.coalesce("target", "own"))).alias("organisation"), "spelled")
     direct = rows.where("host is not null").select("id", F.col("host").alias("organisation"), F.col("name").alias("spelled"))
     return direct.unionByName(open_).withColumnRenamed("id", key)
 
 
+def _by_length(near: DataFrame) -> DataFrame:
+    """Of pairs within the radius those that their length allows: short keys differ by one edit or swap."""
+    return near.where((F.least(F.length("key"), F.length("known_key")) >= SHORTEST) | one_edit(F.col("key"), F.col("known_key")))
+
+
+def _own_spellings(counts: DataFrame) -> DataFrame:
+    """(node, target): keys of (key, n) read as the nearest, then most frequent key within the radius, followed to the end."""
+    keys = checkpointed(counts.where(F.length("key") >= SHORTEST_SLIP))
+    near = _by_length(radius_join(keys, keys, "key")).join(keys, "key").join(keys.select(F.col("key").alias("known_key"), F.col("n").alias("m")), "known_key")
+    upward = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("known_key") < F.col("key")))
+    return _followed(near.where(upward).groupBy(F.col("key").alias("node")).agg(F.min(F.struct("distance", (-F.col("m")).alias("m"), "known_key"))["known_key"].alias("target")))
+
+
 def _only(df: DataFrame, key: str) -> DataFrame:
     """(key, h): keys that belong to one host."""
     return df.groupBy(key).agg(F.min("host").alias("h"), F.count_distinct("host").alias("c")).where("c = 1").drop("c")
