@@ -41,6 +41,20 @@ def test_places(spark):
     assert places.pairs(places.places(places.addresses(df.limit(0), "ID", "Address", "Address_Alternatives", "Location"), "ID"), "ID").count() == 0
 
 
+def test_slips_of_streets_at_any_size(spark):
+    """What is a slip follows from shares, so repeating the rows doesn't change it."""
+    def found(times, *texts):
+        rows = [(i, t) for i, t in enumerate([*texts] * times)]
+        df = spark.createDataFrame(rows, "ID long, Address string")
+        return {r.street for r in places.places(places.addresses(df, "ID", "Address", None, None), "ID").collect()}
+
+    slip = ["Kürschnersttr. 5, 11111 Altdorf", *["Kürschnerstr. 5, 11111 Altdorf"] * 6]
+    assert found(1, *slip) == found(10, *slip) == {"kuerschnerstrasse"}
+    equal = ["Rosenweg 5, 11111 Altdorf", "Hasenweg 5, 11111 Altdorf"]
+    assert found(2, *equal) == found(10, *equal) == {"rosenweg", "hasenweg"}
+    assert len(found(1, "Tuchmacherdamm 5, 11111 Altdorf", "Tucmhacherdamm 5, 11111 Altdorf")) == 1
+
+
 # ------------------------------------------------------------------ names
 def test_radius_join_equals_brute_force(spark):
     rng = random.Random(4)

@@ -4,8 +4,9 @@ The hierarchy is matched from the top. Every address is parsed into postcode, to
 a postcode stands for the town most of its addresses name. Localities: a town is read as its standard spelling, or as the
 town of its postcode if it resembles that; a missing town is inherited from the postcode, else from the contact's location,
 else from the only town that knows the same street and number; several such towns stay explicit as ``ambiguous``. Streets:
-the standard spelling over all towns (types written alike: Str., strasse, -straße); a spelling seen hardly
-anywhere is read as a sound street of the same town with the same number within two edits.
+the standard spelling over all towns (types written alike: Str., strasse, -straße); a spelling is read
+as a street of the same town with the same number within two edits that is ``RATIO`` times as frequent over all towns, or
+as the first of two that are each seen once only.
 Numbers are compared as written (12, 12a and 12-14 are three); units are parsed and left out of the place.
 
 Standard spellings come from counts, so hot towns or streets are single rows; addresses themselves are only joined to
@@ -28,8 +29,8 @@ from tidewright.functions.text import german_fold
 from tidewright.llm.edits import standard_spellings
 from tidewright.session import broadcast_if_small, checkpointed
 
-#: A street spelling seen so seldom anywhere may be a slip for another street of the same town with the same number.
-RARE = 3
+#: A street this many times as frequent (over all towns) may be meant by another spelling in the same town with the same number.
+RATIO = 2
 
 _PARSED = T.StructType([T.StructField(n, T.StringType()) for n in ("postcode", "town", "street", "number", "unit")])
 
@@ -144,10 +145,11 @@ def places(parsed: DataFrame, key: str) -> DataFrame:
     local = placed.where("std_street is not null and std_town is not null").groupBy("std_town", "number", "std_street").agg(F.count(F.lit(1)).alias("n"))
     wide = local.groupBy("std_street").agg(F.sum("n").alias("n_wide"))
     local = local.join(wide, "std_street")
-    sound = local.where(f"n_wide > {RARE}").select("std_town", "number", F.col("std_street").alias("near_street"), F.col("n_wide").alias("n_near"))
+    sound = local.select("std_town", "number", F.col("std_street").alias("near_street"), F.col("n_wide").alias("n_near"))
     short = F.regexp_replace(F.regexp_replace("near_street", "strasse$", "str"), "platz$", "pl")
     close = F.least(*[F.when(F.levenshtein("std_street", x, 2) >= 0, F.levenshtein("std_street", x)) for x in (F.col("near_street"), short)])
-    near = local.where(f"n_wide <= {RARE}").join(sound, ["std_town", "number"]).withColumn("_d", close).where("_d >= 0")
+    likelier = f"n_near >= {RATIO} * n_wide or (n_near = 1 and n_wide = 1 and near_street < std_street)"
+    near = local.join(sound, ["std_town", "number"]).where(likelier).withColumn("_d", close).where("_d >= 0")
     near = near.groupBy("std_town", "number", "std_street").agg(F.min(F.struct("_d", (-F.col("n_near")).alias("m"), "near_street"))["near_street"].alias("near_street"))
     placed = placed.join(near, ["std_town", "number", "std_street"], "left").withColumn("std_street", F.coalesce("near_street", "std_street"))
     # No town at all: the only town that knows this street and number.
