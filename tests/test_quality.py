@@ -1,7 +1,12 @@
 import datetime
+import shutil
+import subprocess
+import sys
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidewright import session
 from tidewright.operators import drift, packed
 from tidewright.operators import profile as prof
 
@@ -90,3 +95,42 @@ def test_drift(spark):
     out = {r.record_id: r for r in drift.consolidate(df, staging, ["Email", "Notes"]).collect()}
     assert out[1].Email == "a@x" and out[3].Email == "a@x" and '"New"' in out[3].extra and out[6].Email is None and len(out) == 8
     assert drift.changes(drift.cells(df.limit(0))).count() == 0
+
+
+def test_checkpoint_folder_is_asked_for_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+        def getConf(self):  # noqa: N802
+            return self
+
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+        conf = Context()
+
+    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_broadcast_is_bounded_by_rows_and_bytes(spark):
+    df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower() or "ResolvedHint" in d._jdf.queryExecution().logical().toString()
+    assert hinted(session.broadcast_if_small(df)) and not hinted(session.broadcast_if_small(df, size=10_000)) and not hinted(session.broadcast_if_small(df, limit=10))
+
+
+def test_a_broken_import_is_seen(tmp_path):
+    shutil.copytree("tidewright", tmp_path / "tidewright", ignore=shutil.ignore_patterns("__pycache__"))
+    shutil.copy("__spark_entry__.py", tmp_path)
+    run = lambda: subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"], cwd=tmp_path, capture_output=True, text=True, check=False)
+    shutil.rmtree(tmp_path / "tidewright" / "llm", ignore_errors=True)
+    assert run().returncode == 0
+    (tmp_path / "tidewright" / "llm").mkdir()
+    (tmp_path / "tidewright" / "llm" / "__init__.py").write_text("")
+    (tmp_path / "tidewright" / "llm" / "plans.py").write_text("import no_such_module\n")
+    assert "no_such_module" in run().stderr

@@ -91,8 +91,25 @@ STOPWORDS = ["the", "and", "for", "with", "von", "van", "de", "der", "die", "das
 EXAMPLE_HOSTS = ["example.com", "example.org", "example.net", "domain.com", "yourdomain.com", "mustermann.de", "yourcompany.com"]
 ROBOT_LOCALS = ["noreply", "no-reply", "donotreply", "do-not-reply"]
 
-# Address parts.
-STREET_ENDINGS = r"(?:stra(?:ße|sse)|str\.|weg|gasse|platz|allee|ring|damm|ufer|steig|berg"
+# Patterns that must read exactly so for equal results: e-mail and web addresses and telephones in cells of contacts.
+EMAIL = r"[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
+URL = r"(?:https?://|www\.)[^\s,;|]+|\b(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?::[0-9]+)?(?:/[^\s,;|]*)?"
+PHONE = r"(?<!\w)\+?\d[\d\s()./-]{6,}\d"
+# The same for web pages: e-mail addresses, also written out, and postal addresses with street, number, postcode and town.
+PAGE_EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
+WRITTEN_AT = r"(?:\(at\)|\[at\]|\bat\b)"
+WRITTEN_DOT = r"(?:\(dot\)|\[dot\]|\bdot\b)"
+WRITTEN_EMAIL = rf"[a-zA-Z0-9._%+\-]+\s*{WRITTEN_AT}\s*[a-zA-Z0-9.\-]+\s*{WRITTEN_DOT}\s*[a-zA-Z]{{2,}}"
+STREET_ENDINGS = ["straße", "strasse", r"str\.", "weg", "gasse", "platz", "allee", "ring", "damm", "ufer", "steig", "berg"]
+PAGE_STREET_ENDINGS = [*STREET_ENDINGS, "chaussee"]
+PAGE_STREET = rf"[A-ZÄÖÜ][a-zA-ZäöüÄÖÜß\-.]{{1,30}}(?:\s+[A-ZÄÖÜ][a-zA-ZäöüÄÖÜß\-.]{{1,30}}){{0,3}}\s*(?:{'|'.join(PAGE_STREET_ENDINGS)})\.?"
+PAGE_NUMBER = r"\s*\d{1,4}\s*[a-zA-Z]?(?:\s*/\s*\d{1,4}\s*[a-zA-Z]?)?"
+PAGE_TOWN = r"[A-ZÄÖÜ][a-zA-ZäöüÄÖÜß\-]{1,30}(?:\s+[A-ZÄÖÜ][a-zA-ZäöüÄÖÜß\-]{1,30}){0,2}"
+PAGE_ADDRESS = rf"({PAGE_STREET})({PAGE_NUMBER})[,\n\r]?\s*(\d{{5}})\s+({PAGE_TOWN})"
+WORDS_AFTER_TOWN = r"(?:Telefon|Tel\.?|Phone|E-?Mail|Fax)\b"
+# Words before a name on an Impressum page; characters of the page that are searched.
+IMPRESSUM_LABELS = ["anbieter", "betreiber", "inhaltlich verantwortlich"]
+IMPRESSUM_CHARACTERS = 1500
 
 # Column orders.
 CONTACT_COLUMNS = [

@@ -143,7 +143,7 @@ def primary_emails(contacts: DataFrame, emails: DataFrame, mode: str = "compat")
     pairs = rows.where("f is not null or l is not null").join(emails, "site").withColumn("fit", fit).where("fit > 0")
     rank = F.struct((-F.col("fit")).alias("a"), (-c.page_priority(F.col("page_type"))).alias("b"), "first", "email")
     ranked = pairs.groupBy("ID").agg(F.array_sort(F.collect_list(F.struct(rank.alias("r"), F.col("email").alias("e")))).alias("x"))
-    return ranked.select("ID", F.col("x")[0]["e"].alias("Email"), F.array_join(F.transform(F.slice("x", 2, 10_000), lambda y: y["e"]), " | ").alias("Email_Alternatives"))
+    return ranked.select("ID", F.col("x")[0]["e"].alias("Email"), F.array_join(F.transform(F.slice("x", F.lit(2), F.size("x")), lambda y: y["e"]), " | ").alias("Email_Alternatives"))
 
 
 def apply_addresses(contacts: DataFrame, best: DataFrame) -> DataFrame:

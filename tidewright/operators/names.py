@@ -21,6 +21,6 @@ def split_name(c: Column | str) -> Column:
     words = F.split(s, " ")
     parts = F.transform(words, lambda w, i: F.lower(w).isin(PARTICLES) & (i > 0))
     at = F.array_position(parts, True)
-    last = F.when(at > 0, F.array_join(F.slice(words, at.cast("int"), 99), " ")).otherwise(F.element_at(words, -1))
+    last = F.when(at > 0, F.array_join(F.slice(words, at.cast("int"), F.size(words)), " ")).otherwise(F.element_at(words, -1))
     ok = (F.size(words) >= 2) & (words[0] != "") & (last != "")
     return F.when(ok, F.struct(words[0].alias("first"), last.alias("last"))).otherwise(F.struct(F.lit(None).cast("string").alias("first"), F.lit(None).cast("string").alias("last")))

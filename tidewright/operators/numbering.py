@@ -28,10 +28,13 @@ def group_numbers(df: DataFrame, key: str, order: str, name: str) -> DataFrame:
 
 def flag_repeated(df: DataFrame, key: Column, name: str) -> DataFrame:
     """``df`` with a flag for rows whose non-blank key occurs more than once. Counts are combined before the shuffle; a hot
-    key is one row of the small side, and its rows stay where they are or are split by the engine."""
+    key is one row of the small side, and its rows stay where they are or are split by the engine. Rows without a key pass
+    beside the join."""
     keyed = df.withColumn("_k", F.nullif(key, F.lit("")))
-    twice = keyed.where("_k is not null").groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k", F.lit(True).alias(name))
-    return keyed.join(twice, "_k", "left").withColumn(name, F.coalesce(name, F.lit(False))).drop("_k")
+    some = keyed.where("_k is not null")
+    twice = some.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k", F.lit(True).alias(name))
+    flagged = some.join(twice, "_k", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return flagged.unionByName(keyed.where("_k is null").withColumn(name, F.lit(False))).drop("_k")
 
 
 def ordered_distinct(df: DataFrame, keys: list[str], items: Column, order: str, name: str) -> DataFrame:

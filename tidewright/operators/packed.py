@@ -113,7 +113,7 @@ def split_packed(cells: DataFrame, least: int = 1) -> DataFrame:
     are few (``session.BROADCAST_ROWS``); otherwise the join shuffles on the skeleton and the engine splits hot ones.
     """
     if least > 1:  # without any delimiter a cell holds one value and needs no rule
-        cells = cells.where(F.col("cell").rlike(rf"[{_HARD},]|{_BLANK}{_BETWEEN}{_BLANK}|[@.].*{_BLANK}.*[@.]"))
+        cells = cells.where(F.col("cell").rlike(rf"[{_HARD},]|{_BLANK}{_BETWEEN}{_BLANK}|[@.].*{_BLANK}.*[@.]|[\"'@.]{_BLANK}++[\"']|[\"']{_BLANK}++\S*[@.]"))
     cut = cells.withColumn("toks", tokens(strip("cell"))).withColumn("skel", skeleton(F.col("toks")))
     rules = checkpointed(cut.select("skel").distinct().withColumn("rule", _resolve_all("skel")))
     ruled = cut.join(broadcast_if_small(rules.where(F.size("rule") >= least)), "skel")

@@ -42,7 +42,7 @@ def clean_contacts(raw: DataFrame, mode: str = "compat") -> DataFrame:
         (several, F.lit("Contact name may contain multiple people")),
     ]
     first = lambda a: F.coalesce(F.get(a, 0), F.lit(""))
-    rest = lambda a: F.array_join(F.slice(a, 2, 10_000), " | ")
+    rest = lambda a: F.array_join(F.slice(a, F.lit(2), F.greatest(F.size(a), F.lit(1))), " | ")
     new = {
         "Email": first("_e"), "Email_Alternatives": rest("_e"), "Website": first("_w"), "Website_Alternatives": rest("_w"), "Phone": first("_p"), "Phone_Alternatives": rest("_p"),
         "Contact_Name": name, "Organisation_Name": F.col("_o"), "Email_Domain": c.domain_last(first("_e")),

@@ -1,14 +1,6 @@
 """All queries of the contact pipeline."""
 
-from tidewright.plans import preparation
+from tidewright.plans import enrichment, preparation
 
-_MODULES = [preparation]
-try:
-    from tidewright.plans import enrichment
-
-    _MODULES.append(enrichment)
-except ImportError:
-    pass
-
-QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
-ORACLE = {k: s for m in _MODULES for k, s in m.ORACLE.items()}
+QUERIES = preparation.QUERIES | enrichment.QUERIES
+ORACLE = preparation.ORACLE | enrichment.ORACLE

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import contact as c
 from tidewright.functions import urls as u
+from tidewright.operators.pages import is_soft_error, parsed_pages
 
 #: (url) -> (final url, status or None, error or None)
 Probe = Callable[[str], tuple[str, int | None, str | None]]
@@ -87,21 +88,31 @@ def search(organisations: DataFrame, client: Callable[[str], tuple[int, dict, fl
     return todo.mapInPandas(run, "Organisation_Name string, Rank int, URL string, Title string, Description string")
 
 
-def fetch_pages(pages: DataFrame, known: DataFrame, fetch: Callable[[str], tuple[str, int, str, str]], tries: int = 2, most: int = 500_000) -> DataFrame:
-    """(url, html, status): pages that ``known`` doesn't have. Kept are 200 answers of type HTML from the same host, cut at
-    ``most`` characters; 5xx is tried again."""
+def fetch_pages(pages: DataFrame, known: DataFrame, fetch: Callable[[str], tuple[str, int, str, str]], tries: int = 2, most: int = 500_000, pause: float = 1.5, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """(url, html, status): pages that ``known`` doesn't have. Kept are 200 answers of type HTML from the same host that are no
+    error page, cut at ``most`` bytes (a broken last character is dropped); 5xx and errors of the client are tried again
+    after ``pause`` seconds, a page whose last try fails is left out."""
     todo = pages.select("url").distinct().where(~u.skippable("url") & ~u.is_directory("url")).join(known.select("url"), "url", "left_anti").repartition(F.xxhash64("url"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for url in b["url"]:
-                for _ in range(tries):
-                    final, status, kind, body = fetch(url)
-                    if status < 500:
+                answer = None
+                for k in range(tries):
+                    if k:
+                        sleep(pause)
+                    try:
+                        answer = fetch(url)
+                    except Exception:  # noqa: BLE001, S112 - whatever a client raises is a failed try
+                        continue
+                    if answer[1] < 500:
                         break
-                out.append((url, final, status, kind, body[:most]))
+                if answer is not None:
+                    final, status, kind, body = answer
+                    out.append((url, final, status, kind, body.encode("utf-8", "replace")[:most].decode("utf-8", "ignore")))
             yield pd.DataFrame(out, columns=["url", "final", "status", "kind", "html"])
 
     got = todo.mapInPandas(run, "url string, final string, status int, kind string, html string")
-    return got.where((F.col("status") == 200) & F.col("kind").contains("text/html") & (u.bare_host("final") == u.bare_host("url"))).select("url", "html", "status")
+    whole = got.where((F.col("status") == 200) & F.col("kind").contains("text/html") & (u.bare_host("final") == u.bare_host("url")))
+    return parsed_pages(whole.withColumn("_html", F.col("html")), "_html").where(~is_soft_error(F.col("doc"))).select("url", "html", "status")
