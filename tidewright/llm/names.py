@@ -30,7 +30,6 @@ from tidewright.functions.memo import memo
 from tidewright.functions.text import is_missing, strip
 from tidewright.llm.edits import one_edit, standard_spellings
 from tidewright.llm.mojibake import restore
-from tidewright.llm.pii import FIRST_NAMES
 from tidewright.session import broadcast_if_small, checkpointed
 
 #: Names sampled as pivots: bounds the broadcast and the distances computed per name.
@@ -42,8 +41,8 @@ SHORTEST = 9
 SHORTEST_SLIP = 5
 #: Parts of a person's name of this length or more meet within the radius, shorter ones within one edit.
 SHORTEST_PART = 7
-#: A word of a name that is this rare may be a slip for a frequent one.
-RARE_WORD = 3
+#: Organisations from which a part of persons' names counts as established.
+ESTABLISHED = 3
 
 _HOST = r"((?:[A-Z0-9](?:[A-Z0-9-]*[A-Z0-9])?\.)++[A-Z]{2,})"
 _EMAIL_HOST = rf"(?i)^[A-Z0-9_%+-]++(?:\.[A-Z0-9_%+-]++)*+@{_HOST}$"
@@ -230,7 +229,7 @@ def _only(df: DataFrame, key: str) -> DataFrame:
 def _by_standard_words(rest: DataFrame, rows: DataFrame, by_key: DataFrame, by_bag: DataFrame) -> DataFrame:
     """(key, spelled_host): names whose rare words, each read as the frequent word one edit away, are those of one host."""
     counts = rows.where("key is not null").select(F.explode(F.split("bag", " ")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    standard = standard_spellings(counts, [], "w", ratio=5).join(counts, "w").where(f"w <> standard and n <= {RARE_WORD}").select("w", "standard")
+    standard = standard_spellings(counts, [], "w", ratio=5).join(counts, "w").where("w <> standard").select("w", "standard")
     words = rest.select("key", F.posexplode(F.transform("words", lambda w: _squeezed(F.regexp_replace(w, r"\.$", "")))).alias("i", "w")).distinct()
     read = words.join(standard, "w", "left").withColumn("r", F.coalesce("standard", "w"))
     again = read.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("i", "r"))).alias("l"), F.max(F.col("standard").isNotNull()).alias("changed")).where("changed")
@@ -322,7 +321,7 @@ def parse_person(text: str | None) -> tuple[str | None, str | None, str | None]:
         s = p["title"].sub("", given.strip()) + " " + p["title"].sub("", family.strip())
     parts = [w.strip(".-'") for w in re.findall(r"[^\W\d_][\w'-]*\.?", s)]
     long = [w for w in parts if len(w) > 1]
-    if not long or any(w in NOBODY for w in long) or len(long) > 4:
+    if not long or any(w in NOBODY for w in long):
         return None, None, None
     if len(long) == 1:
         initial = next((w for w in parts if len(w) == 1), None)
@@ -340,13 +339,16 @@ def _parse_persons(texts: pd.Series) -> pd.DataFrame:
 
 
 def _near_parts(rows: DataFrame) -> DataFrame:
-    """(org, w, v, d): parts of names of an organisation within the radius of each other; two known first names never are."""
-    given = F.array(*[F.lit(x) for x in sorted({squeeze(fold(n)) for n in [*FIRST_NAMES, *NICKNAMES, *" ".join(NICKNAMES.values()).split()]})])
+    """(org, w, v, d): parts of names of an organisation within the radius of each other. Two parts that are both established,
+    each in ``ESTABLISHED`` organisations or more and in a tenth as many as the other (Martin, Martina), are two names."""
     parts = rows.select("org", F.explode(F.array_compact(F.array("a", "b"))).alias("w")).where(F.length("w") >= SHORTEST_PART).distinct()
     parts = checkpointed(parts)
     # The organisation parts the keys already; a few pivots bound the cells of the largest ones.
     near = radius_join(parts, parts, "w", pivots=4, scope=("org",)).where("w <> known_key")
-    return near.where(~(F.array_contains(given, F.col("w")) & F.array_contains(given, F.col("known_key")))).select("org", "w", F.col("known_key").alias("v"), F.col("distance").alias("d"))
+    spread = checkpointed(parts.groupBy("w").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= ESTABLISHED))
+    near = near.join(spread, "w", "left").join(spread.select(F.col("w").alias("known_key"), F.col("k").alias("l")), "known_key", "left")
+    both = F.coalesce((F.col("k") * 10 >= F.col("l")) & (F.col("l") * 10 >= F.col("k")), F.lit(False))
+    return near.where(~both).select("org", "w", F.col("known_key").alias("v"), F.col("distance").alias("d"))
 
 
 def _followed(step: DataFrame) -> DataFrame:

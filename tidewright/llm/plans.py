@@ -97,7 +97,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_texts(spark: SparkSession, d: str) -> DataFrame:
     """The texts with typed placeholders."""
-    return table(spark, d, "documents").select("doc_id", pii.redact("text").alias("text"))
+    return pii.redact(table(spark, d, "documents"), "doc_id", "text")
 
 
 QUERIES = {
