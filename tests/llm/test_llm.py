@@ -200,7 +200,7 @@ def test_better_sources_win(spark):
 
 # ------------------------------------------------------------------ tokens
 needs_files = pytest.mark.skipif(not os.path.exists(f"{tokenizer.TOKENIZERS}/byte_bpe_50k.tiktoken"), reason="no vocabulary file")
-TEXTS = ["Grüße aus Köln, it's 12345 €!", "", None, "  \n\n  x  ", "<|endoftext|> is text", "a" * 3000, "循环经济 🌱♻️", " ", "d’été\t  z", "ﬁ ½ ﷽", "abc " * 4000, "\x00\x01"]
+TEXTS = ["Grüße aus Köln, it's 12345 €!", "", None, "  \n\n  x  ", "<|endoftext|> is text", "a" * 3000, "ab" * 25_000, " " * 50_000, "".join(chr(97 + i * i % 26) for i in range(50_000)), "循环经济 🌱♻️", " ", "d’été\t  z", "ﬁ ½ ﷽", "abc " * 4000, "\x00\x01"]
 
 
 @needs_files

@@ -4,26 +4,33 @@ A text is cut into words by the tokenizer's public pattern. Words that are token
 made distinct over the corpus and encoded once each: the bytes of the word are an array of pieces and a fold merges, step
 by step, the adjacent pair of the lowest rank. Ranks come from a literal of the plan: an array of small maps, addressed by
 the CRC of the piece, so a lookup scans about a dozen entries instead of the whole vocabulary. The encoded words are joined
-back per document. Pieces are the hexadecimal text of their bytes; decoding concatenates them and turns them into bytes.
+back to their places. Pieces are the hexadecimal text of their bytes; decoding concatenates them and turns them into bytes.
 
-Null and empty texts have an empty list. Special tokens are never produced; their strings are ordinary text. Texts of any
-length are encoded whole; a word of n bytes takes n short steps. Rows that repeat a doc_id keep their own texts.
+Null and empty texts have an empty list. Special tokens are never produced; their strings are ordinary text. Texts and words
+of any length are encoded whole. Rows that repeat a doc_id keep their own texts.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 import os
 import zlib
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidewright.session import checkpointed
 
 #: Folder of the public vocabulary files; a parameter, never copied.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 BUCKETS = 8192
+#: Bytes of a word up to which it is encoded by the fold.
+LONG = 512
 #: Stands for "no such pair".
 NONE = 2**31 - 1
 
@@ -100,29 +107,71 @@ def word_bytes(word: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(h), F.lit(2)), lambda i: F.substr(h, i, F.lit(2)))
 
 
-def encode_words(words: DataFrame, ranks: Column) -> DataFrame:
-    """(word, ids) for distinct non-empty words."""
-    return words.withColumn("_p", merge(word_bytes(F.col("word")), ranks)).select("word", F.transform("_p", lambda p: rank(p, ranks)).alias("ids"))
+def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges for a word of any length: pairs wait in a heap, so n bytes take about n log n steps."""
+    n = len(word)
+    piece: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i, 2) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, size = heapq.heappop(heap)
+        j = after[i]
+        if piece[i] is None or j >= n or len(piece[i]) + len(piece[j]) != size:
+            continue
+        piece[i], piece[j] = piece[i] + piece[j], None
+        after[i] = after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        for k in (before[i], i):
+            if k >= 0 and after[k] < n:
+                pair = piece[k] + piece[after[k]]
+                if (r := ranks.get(pair)) is not None:
+                    heapq.heappush(heap, (r, k, len(pair)))
+    return [ranks[x] for x in piece if x is not None]
+
+
+def _long_words(ranks: dict[bytes, int]):  # noqa: ANN202
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def ids(words: pd.Series) -> pd.Series:
+        return words.map(lambda w: merge_long(w.encode("utf-8"), ranks))
+
+    return ids
+
+
+def encode_words(words: DataFrame, ranks: Column, name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
+    """(word, ids) for distinct non-empty words. A step of the fold copies the pieces, so a word of n bytes costs n * n; words
+    beyond ``LONG`` bytes, which natural text doesn't have, are merged through a heap."""
+    short = words.where(F.octet_length("word") <= LONG).withColumn("_p", merge(word_bytes(F.col("word")), ranks)).select("word", F.transform("_p", lambda p: rank(p, ranks)).alias("ids"))
+    long = words.where(F.octet_length("word") > LONG).select("word", _long_words(read_ranks(name, folder))("word").alias("ids"))
+    return short.unionByName(long)
 
 
 def encode(docs: DataFrame, key: str, text: str, name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
     """(key, ids) for every row of ``docs``.
 
-    Only words that are no tokens themselves are shuffled, once per document and word: to meet their encoding and to come
-    back as one small map per document. Frequent words are tokens, so the words that shuffle have no heavy hitters by
-    nature; where one has, the engine splits the skewed join partition.
+    Each text is cut once; what is kept of it are the ids of words that are tokens and the other words with their places.
+    Only these other words are shuffled, to meet their encoding, and documents that have any meet their ids again by row
+    number. Frequent words are tokens, so the words that shuffle have no heavy hitters by nature; where one has, the engine
+    splits the skewed join partition. Texts are never shuffled.
     """
     ranks = rank_literal(name, folder)
-    source = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    cut = F.regexp_extract_all("_text", F.lit(PATTERN), F.lit(0))
+    cut = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(PATTERN), F.lit(0))
     known = lambda w: rank(F.hex(F.encode(w, "utf-8")), ranks)
-    rare = source.select("_key", F.explode(F.filter(F.array_distinct(cut), lambda w: known(w).isNull())).alias("word"))
-    encoded = encode_words(rare.select("word").distinct(), ranks)
-    entries = rare.join(encoded, "word").groupBy("_key").agg(F.map_from_entries(F.collect_set(F.struct("word", "ids"))).alias("_map"))
-    entries = entries.withColumnRenamed("_key", "_key2")
-    whole = source.join(entries, F.col("_key").eqNullSafe(F.col("_key2")), "left")
-    ids = F.flatten(F.transform(cut, lambda w: _let(known(w), lambda k: F.when(k.isNotNull(), F.array(k)).otherwise(F.element_at("_map", w)))))
-    return whole.select(F.col("_key").alias(key), ids.alias("ids"))
+    marked = F.transform(cut, lambda w: _let(known(w), lambda k: F.struct(k.alias("id"), F.when(k.isNull(), w).alias("word"))))
+    source = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), marked.alias("m"))
+    others = F.filter(F.transform("m", lambda x, i: F.struct(i.alias("pos"), x["word"].alias("word"))), lambda x: x["word"].isNotNull())
+    rows = checkpointed(source.select("_row", "_key", F.transform("m", lambda x: x["id"]).alias("known"), others.alias("others")))
+    rare = rows.select("_row", F.explode("others").alias("x")).select("_row", "x.*")
+    encoded = encode_words(rare.select("word").distinct(), ranks, name, folder)
+    placed = rare.join(encoded, "word").select("_row", F.lit(None).cast("array<int>").alias("known"), F.struct("pos", "ids").alias("x"))
+    mixed = rows.where(F.size("others") > 0).select("_row", "_key", "known", F.lit(None).cast("struct<pos:int,ids:array<int>>").alias("x"))
+    placed = placed.select("_row", F.lit(None).cast(rows.schema["_key"].dataType).alias("_key"), "known", "x")
+    gathered = mixed.unionByName(placed).groupBy("_row").agg(F.first("_key", True).alias("_key"), F.first("known", True).alias("known"), F.collect_list("x").alias("x"))
+    told = F.filter(F.transform("known", lambda k, i: F.struct(i.alias("pos"), F.array(k).alias("ids"))), lambda y: y["ids"][0].isNotNull())
+    ids = F.flatten(F.transform(F.array_sort(F.concat(told, F.col("x"))), lambda y: y["ids"]))
+    plain = rows.where(F.size("others") == 0).select(F.col("_key").alias(key), F.col("known").alias("ids"))
+    return gathered.select(F.col("_key").alias(key), ids.alias("ids")).unionByName(plain)
 
 
 def decode(tokens: DataFrame, key: str, ids: str = "ids", name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
