@@ -73,8 +73,10 @@ def test_radius_join_equals_brute_force(spark):
 
     want = {(a, b, lev(a, b)) for a in unknown for b in known if lev(a, b) <= 2}
     u, k = spark.createDataFrame([(x,) for x in unknown], "key string"), spark.createDataFrame([(x,) for x in known], "key string")
-    for pivots in (1, 7, 64):
-        assert {tuple(r) for r in names.radius_join(u, k, "key", 2, pivots).collect()} == want
+    for pivots, heavy in ((1, 100), (7, 100), (7, 3000), (64, 10**9)):
+        assert {tuple(r) for r in names.radius_join(u, k, "key", 2, pivots=pivots, heavy=heavy).collect()} == want
+    scoped = names.radius_join(u.withColumn("g", F.length("key") % 2), k.withColumn("g", F.length("key") % 2), "key", 2, ("g",), pivots=5, heavy=200)
+    assert {tuple(r)[1:] for r in scoped.collect()} == {x for x in want if len(x[0]) % 2 == len(x[1]) % 2}
     assert names.radius_join(u, k.limit(0), "key").count() == 0
 
 
@@ -120,6 +122,7 @@ def test_person_parser():
     for nobody in ("Empfang", "12", "X", "Kontakt 2024/08", "a@b.de", "", None, "https://x.example/team"):
         assert names.parse_person(nobody) == (None, None, None)
     assert names.parse_person("a " * 50_000) == (None, None, None)
+    assert names.parse_person("Maria del Carmen Lopez Garcia") == ("garcia", "maria", None)
 
 
 # ------------------------------------------------------------------ encodings
@@ -349,9 +352,17 @@ def test_pii_equals_one_machine(spark):
 def test_standard_spellings(spark):
     df = spark.createDataFrame([("ahornweg", 10), ("ahornwge", 1), ("ahornwg", 2), ("birkenweg", 9), ("kurz", 1), ("kur", 9), (None, 3)], "k string, n long")
     got = {r.k: r.standard for r in edits.standard_spellings(df, [], "k").collect()}
+    chain = spark.createDataFrame([("abcdefgh", 64), ("abcdefgx", 16), ("abcdefxx", 8), ("abcdexxx", 4), ("abcdxxxx", 1)], "k string, n long")
+    assert {r.standard for r in edits.standard_spellings(chain.withColumn("g", F.lit("s")), ["g"], "k").collect()} == {"abcdefgh"}
     assert got == {"ahornweg": "ahornweg", "ahornwge": "ahornweg", "ahornwg": "ahornweg", "birkenweg": "birkenweg", "kurz": "kurz", "kur": "kur"}
 
 
 def test_queries_are_named():
     assert {f"p{n}_found" for n in (2, 3, 4, 5, 9, 10)} | {"p8_ids"} <= set(plans.QUERIES)
     assert set(plans.ORACLE) <= set(plans.QUERIES)
+
+
+def test_slips_are_read_however_often_they_are_typed(spark):
+    rows = [("Werkstatt Nordlicht", "info@werkstatt-nordlicht.example")] * 60 + [("Werkstat Nordlicht", None)] * 10 + [("Wrekstatt Nordlich", None)] * 4
+    df = spark.createDataFrame([(i, n, e) for i, (n, e) in enumerate(rows)], "ID long, Organisation_Name string, Email string").withColumns({c: F.lit(None).cast("string") for c in ("Website", "Location")})
+    assert {r.organisation for r in names.organisation_classes(df).collect()} == {"werkstatt-nordlicht.example"}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewright.session import checkpointed
+
 
 def deletions(key: Column) -> Column:
     """The key and every key with one character less. Two keys one edit apart (replace, insert, delete, swap neighbours) share one."""
@@ -25,9 +27,20 @@ def one_edit(a: Column, b: Column) -> Column:
     return (F.levenshtein(a, b, 1) >= 0) | swapped(a, b)
 
 
+def followed(step: DataFrame) -> DataFrame:
+    """(node, target) with every chain of targets followed to its end. Each step leads upward in one order, so none is a cycle."""
+    at = checkpointed(step)
+    while True:
+        onward = at.select(F.col("node").alias("target"), F.col("target").alias("onward"))
+        at = checkpointed(at.join(onward, "target", "left").select("node", F.coalesce("onward", "target").alias("target"), F.col("onward").isNotNull().alias("moved")))
+        if not at.where("moved").limit(1).count():
+            return at.drop("moved")
+        at = at.drop("moved")
+
+
 def standard_spellings(counts: DataFrame, scope: list[str], key: str, n: str = "n", ratio: int = 2, shortest: int = 5) -> DataFrame:
     """(scope, key, standard): each key with the most frequent key one edit away that is ``ratio`` times as frequent, else
-    itself; followed twice. ``counts`` has one row per scope and key, so hot keys are already one row.
+    itself; followed to the end. ``counts`` has one row per scope and key, so hot keys are already one row.
 
     Keys shorter than ``shortest`` keep themselves; nulls are left out; ties go to the first in order of the text.
     """
@@ -37,10 +50,10 @@ def standard_spellings(counts: DataFrame, scope: list[str], key: str, n: str = "
     pairs = near.join(other, [*scope, "_v"]).where(
         (F.col("_n2") >= F.col("_n") * ratio) & ((F.col("_n2") > F.col("_n")) | (F.col("_k2") < F.col("_k"))) & (F.col("_k") != F.col("_k2")) & one_edit(F.col("_k"), F.col("_k2"))
     )
-    best = pairs.groupBy(*scope, "_k").agg(F.min(F.struct((-F.col("_n2")).alias("a"), F.col("_k2").alias("b")))["b"].alias("_s"))
-    again = best.select(*scope, F.col("_k").alias("_s"), F.col("_s").alias("_t"))
-    standard = F.coalesce("_t", "_s", "_k").alias("standard")
-    return base.join(best, [*scope, "_k"], "left").join(again, [*scope, "_s"], "left").select(*scope, F.col("_k").alias(key), standard)
+    node = lambda c: F.concat_ws("\x1f", *scope, c)
+    best = pairs.groupBy(*scope, "_k").agg(F.min(F.struct((-F.col("_n2")).alias("a"), F.col("_k2").alias("b")))["b"].alias("_b")).select(node("_k").alias("node"), node("_b").alias("target"))
+    ends = followed(best).select(F.col("node").alias("_node"), F.element_at(F.split("target", "\x1f"), -1).alias("_s"))
+    return base.join(ends, node("_k") == F.col("_node"), "left").select(*scope, F.col("_k").alias(key), F.coalesce("_s", "_k").alias("standard"))
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -28,19 +28,23 @@ from pyspark.sql import types as T
 
 from tidewright.functions.memo import memo
 from tidewright.functions.text import is_missing, strip
-from tidewright.llm.edits import one_edit, standard_spellings
+from tidewright.llm.edits import followed, one_edit, standard_spellings
 from tidewright.llm.mojibake import restore
 from tidewright.session import broadcast_if_small, checkpointed
 
-#: Names sampled as pivots: bounds the broadcast and the distances computed per name.
+#: Pivots drawn from a cell that is divided, pairs that a cell may compare, and divisions at most.
 PIVOTS = 64
+HEAVY = 400_000
+LEVELS = 4
 #: Edit radius of names (two: a swap of neighbours costs two edits); keys below SHORTEST letters meet within one edit or swap,
 #: those below SHORTEST_SLIP (initials, where one letter makes another name) exactly.
 RADIUS = 2
 SHORTEST = 9
 SHORTEST_SLIP = 5
-#: Parts of a person's name of this length or more meet within the radius, shorter ones within one edit.
+#: Parts of a person's name of this length or more meet within the radius, shorter ones within one edit or swap, those below
+#: SHORTEST_SLIP_PART exactly.
 SHORTEST_PART = 7
+SHORTEST_SLIP_PART = 4
 #: Organisations from which a part of persons' names counts as established.
 ESTABLISHED = 3
 
@@ -141,29 +145,46 @@ def own_hosts(rows: DataFrame) -> DataFrame:
     return totals.where((F.col("named") < 3) | (F.col("like") * 3 >= F.col("named"))).select("host")
 
 
-def radius_join(unknown: DataFrame, known: DataFrame, key: str, radius: int = RADIUS, pivots: int = PIVOTS, scope: tuple[str, ...] = ()) -> DataFrame:
+def radius_join(unknown: DataFrame, known: DataFrame, key: str, radius: int = RADIUS, scope: tuple[str, ...] = (), pivots: int = PIVOTS, heavy: int = HEAVY, levels: int = LEVELS) -> DataFrame:
     """(scope, key, known_key, distance) of every pair of distinct keys within ``radius`` edits, by metric-space partitioning.
 
-    Both sides hold distinct keys and should be checkpointed. Keys meet only where the columns of ``scope`` are equal. ``pivots`` known keys are sampled by hash and sent to the
-    driver (the bound is the parameter). With an empty known side the result is empty.
+    Both sides hold distinct keys and should be checkpointed. Keys meet only where the columns of ``scope`` are equal: each scope
+    is a cell at first. A cell in which more than ``heavy`` pairs would be compared is divided: up to ``pivots`` of its known
+    keys are drawn by hash, each unknown key goes to the cell of its nearest pivot, each known key to every cell whose pivot is
+    within its nearest distance plus twice the radius (triangle inequality: no pair within the radius is lost). New cells that
+    are still heavy are divided again by pivots of their own, so cells stay small however many keys there are; after ``levels``
+    divisions (keys that are all alike can't be told apart by pivots) the join itself splits what is left. Nothing but the
+    number of heavy cells reaches the driver.
     """
-    sample = [r[0] for r in known.select(key).distinct().orderBy(F.xxhash64(key), key).limit(pivots).collect()]
-    if not sample:
-        return unknown.select(*scope, key, F.col(key).alias("known_key"), F.lit(0).alias("distance")).limit(0)
-    centres = F.array(*[F.lit(p) for p in sample])
-    to_pivots = F.transform(centres, lambda p: F.levenshtein(F.col(key), p))
-    u = unknown.select(*scope, key, to_pivots.alias("_d")).withColumn("_du", F.array_min("_d"))
-    u = u.select(*scope, key, F.array_position("_d", F.col("_du")).cast("int").alias("cell"), "_du", F.length(key).alias("_lu"))
-    k = known.select(*scope, F.col(key).alias("known_key"), F.transform(centres, lambda p: F.levenshtein(F.col(key), p)).alias("_d"))
-    near = F.transform("_d", lambda d, i: F.when(d <= F.array_min("_d") + 2 * radius, F.struct((i + 1).cast("int").alias("cell"), d.alias("_dk"))))
-    k = k.select(*scope, "known_key", F.length("known_key").alias("_lk"), F.explode(F.array_compact(near)).alias("c")).select(*scope, "known_key", "_lk", "c.*")
-    close = (F.abs(F.col("_du") - F.col("_dk")) <= radius) & (F.abs(F.col("_lu") - F.col("_lk")) <= radius)
-    pairs = u.join(k, [*scope, "cell"]).where(close).withColumn("distance", F.levenshtein(key, "known_key", radius)).where("distance >= 0")
+    group = [*scope, "cell"]
+    u = unknown.select(*scope, key, F.lit("").alias("cell"), F.lit(None).cast("int").alias("_du"))
+    k = known.select(*scope, F.col(key).alias("known_key"), F.lit("").alias("cell"), F.lit(None).cast("int").alias("_dk"))
+    for _ in range(levels):
+        sizes = u.groupBy(*group).agg(F.count(F.lit(1)).alias("_nu")).join(k.groupBy(*group).agg(F.count(F.lit(1)).alias("_nk")), group)
+        cells = checkpointed(sizes.where(F.col("_nu") * F.col("_nk") > heavy).select(*group))
+        if not cells.limit(1).count():
+            break
+        chosen = broadcast_if_small(cells)
+        drawn = k.join(chosen, group).groupBy(*group, F.pmod(F.xxhash64("known_key"), F.lit(pivots)).alias("_b")).agg(F.min_by("known_key", F.xxhash64("known_key", F.lit(1))).alias("_p"))
+        centres = broadcast_if_small(checkpointed(drawn.groupBy(*group).agg(F.array_sort(F.collect_list("_p")).alias("_c"))))
+        du = F.transform("_c", lambda p: F.levenshtein(F.col(key), p))
+        own = u.join(centres, group).withColumn("_d", du).withColumn("_du", F.array_min("_d"))
+        place = F.array_position("_d", F.col("_du")).cast("string")
+        own = own.select(*scope, key, F.concat("cell", F.lit("/"), place).alias("cell"), "_du")
+        dk = F.transform("_c", lambda p: F.levenshtein(F.col("known_key"), p))
+        near = F.transform("_d", lambda d, i: F.when(d <= F.array_min("_d") + 2 * radius, F.struct((i + 1).cast("string").alias("place"), d.alias("_dk"))))
+        copies = k.join(centres, group).withColumn("_d", dk).select(*scope, "known_key", "cell", F.explode(F.array_compact(near)).alias("c"))
+        copies = copies.select(*scope, "known_key", F.concat("cell", F.lit("/"), "c.place").alias("cell"), F.col("c._dk").alias("_dk"))
+        u = checkpointed(u.join(chosen, group, "left_anti").unionByName(own))
+        k = checkpointed(k.join(chosen, group, "left_anti").unionByName(copies))
+    close = F.coalesce(F.abs(F.col("_du") - F.col("_dk")) <= radius, F.lit(True)) & (F.abs(F.length(key) - F.length("known_key")) <= radius)
+    pairs = u.join(k, group).where(close).withColumn("distance", F.levenshtein(key, "known_key", radius)).where("distance >= 0")
     return pairs.select(*scope, key, "known_key", "distance")
 
 
 def organisation_classes(contacts: DataFrame, key: str = "ID") -> DataFrame:
-    """(key, organisation, spelled): the organisation of every row that tells one, and its name where the cell has one.
+    """(key, organisation, spelled, how): the organisation of every row that tells one, its name where the cell has one, and by
+    which step it was told.
 
     ``organisation`` is the own domain, or a class of names without any domain.
     """
@@ -188,23 +209,24 @@ def organisation_classes(contacts: DataFrame, key: str = "ID") -> DataFrame:
     by_key = checkpointed(_only(spelled_keys, "key").select("key", F.col("h").alias("key_host")))
     by_bag = checkpointed(_only(told.select("bag", "host").distinct(), "bag").select("bag", F.col("h").alias("bag_host")))
     open_ = rows.where("host is null and key is not null").join(by_key, "key", "left").join(by_bag, "bag", "left").withColumn("found", F.coalesce("key_host", "bag_host"))
-    open_ = checkpointed(open_.select("id", "name", "key", "bag", "words", "loc", "found"))
+    open_ = checkpointed(open_.select("id", "name", "key", "bag", "words", "loc", "found", "key_host", "bag_host"))
     rest = checkpointed(open_.where("found is null").select("key", "bag", "words", "loc").distinct())
-    spelled = _by_standard_words(rest, rows, by_key, by_bag)
-    asked = rest.join(spelled, "key", "left_anti").where(F.length("key") >= SHORTEST_SLIP).select("key").distinct()
+    asked = rest.where(F.length("key") >= SHORTEST_SLIP).select("key").distinct()
     near = _by_length(radius_join(checkpointed(asked), checkpointed(by_key.where(F.length("key") >= SHORTEST_SLIP)), "key")).join(by_key.withColumnRenamed("key", "known_key"), "known_key")
     least = near.groupBy("key", "key_host").agg(F.min("distance").alias("d")).groupBy("key").agg(F.min("d").alias("m"), F.collect_list(F.struct("d", "key_host")).alias("all"))
     least = least.withColumn("best", F.filter("all", lambda x: x["d"] == F.col("m"))).where(F.size("best") == 1).select("key", F.col("best")[0]["key_host"].alias("near_host"))
+    least = checkpointed(least)
+    spelled = _by_standard_words(rest.join(least.select("key"), "key", "left_anti"), rows, by_key, by_bag)
     short = _by_words(rest, told)
-    # Keys without any domain: the standard spelling among themselves, then what is left within the radius.
-    bags = open_.where("found is null").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    alone = standard_spellings(bags, [], "key", ratio=1, shortest=SHORTEST_SLIP).withColumnRenamed("standard", "std_key")
-    open_ = open_.join(spelled, "key", "left").join(least, "key", "left").join(short, ["key", "loc"], "left").join(alone, "key", "left")
-    open_ = checkpointed(open_.select("id", F.col("name").alias("spelled"), F.coalesce("found", "spelled_host", "near_host", "word_host").alias("host"), F.coalesce("std_key", "key").alias("own")))
-    slips = _own_spellings(open_.where("host is null").groupBy(F.col("own").alias("key")).agg(F.count(F.lit(1)).alias("n")))
+    # Keys without any domain are joined among themselves.
+    open_ = open_.join(spelled, "key", "left").join(least, "key", "left").join(short, ["key", "loc"], "left")
+    how = F.when(F.col("key_host").isNotNull(), "equal key").when(F.col("bag_host").isNotNull(), "equal words").when(F.col("near_host").isNotNull(), "radius").when(F.col("spelled_host").isNotNull(), "words").when(F.col("word_host").isNotNull(), "pattern")
+    open_ = checkpointed(open_.select("id", F.col("name").alias("spelled"), F.coalesce("found", "near_host", "spelled_host", "word_host").alias("host"), F.col("key").alias("own"), how.alias("how")))
+    slips = _own_spellings(open_.where("host is null and own <> ''").groupBy(F.col("own").alias("key")).agg(F.count(F.lit(1)).alias("n")))
     open_ = open_.join(slips.select(F.col("node").alias("own"), "target"), "own", "left")
-    open_ = open_.select("id", F.coalesce("host", F.concat(F.lit("name:"), F.coalesce("target", "own"))).alias("organisation"), "spelled")
-    direct = rows.where("host is not null").select("id", F.col("host").alias("organisation"), F.col("name").alias("spelled"))
+    how = F.coalesce("how", F.when(F.col("target").isNotNull(), "radius, no domain").otherwise("own key"))
+    open_ = open_.select("id", F.coalesce("host", F.concat(F.lit("name:"), F.coalesce("target", "own"))).alias("organisation"), "spelled", how.alias("how"))
+    direct = rows.where("host is not null").select("id", F.col("host").alias("organisation"), F.col("name").alias("spelled"), F.lit("domain").alias("how"))
     return direct.unionByName(open_).withColumnRenamed("id", key)
 
 
@@ -218,7 +240,7 @@ def _own_spellings(counts: DataFrame) -> DataFrame:
     keys = checkpointed(counts.where(F.length("key") >= SHORTEST_SLIP))
     near = _by_length(radius_join(keys, keys, "key")).join(keys, "key").join(keys.select(F.col("key").alias("known_key"), F.col("n").alias("m")), "known_key")
     upward = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("known_key") < F.col("key")))
-    return _followed(near.where(upward).groupBy(F.col("key").alias("node")).agg(F.min(F.struct("distance", (-F.col("m")).alias("m"), "known_key"))["known_key"].alias("target")))
+    return followed(near.where(upward).groupBy(F.col("key").alias("node")).agg(F.min(F.struct("distance", (-F.col("m")).alias("m"), "known_key"))["known_key"].alias("target")))
 
 
 def _only(df: DataFrame, key: str) -> DataFrame:
@@ -247,13 +269,13 @@ def _by_words(rest: DataFrame, told: DataFrame) -> DataFrame:
     place = F.regexp_replace(F.lower(F.col("loc")), r"^(?:region|raum|kreis)\s+|\s+(?:nord|süd|ost|west|mitte)$", "")
     town = F.translate(F.replace(F.replace(F.replace(F.replace(place, F.lit("ä"), F.lit("ae")), F.lit("ö"), F.lit("oe")), F.lit("ü"), F.lit("ue")), F.lit("ß"), F.lit("ss")), " -", "")
     full = told.where(F.size("words") >= 2).where(~F.exists("words", lambda w: w.endswith("."))).select("words", "host").distinct()
-    gap = F.transform("words", lambda w, i: F.struct(F.array_join(F.concat(F.slice("words", 1, i), F.array(F.lit("*")), F.slice("words", i + 2, 99)), " ").alias("pattern"), w.alias("word")))
+    gap = F.transform("words", lambda w, i: F.struct(F.array_join(F.concat(F.slice("words", 1, i), F.array(F.lit("*")), F.slice("words", i + 2, F.size("words"))), " ").alias("pattern"), w.alias("word")))
     gaps = full.select("host", F.explode(gap).alias("g")).select("host", "g.pattern", "g.word").distinct()
     initials = F.array_join(F.transform("words", lambda w: F.substring(w, 1, 1)), "")
     letters = full.where(F.size("words") >= 3).select(initials.alias("pattern"), F.element_at("words", -1).alias("word"), "host").distinct()
     want = rest.withColumn("town", town)
     abbreviated = want.where(F.exists("words", lambda w: w.endswith("."))).select("key", "loc", F.posexplode("words").alias("i", "w"), "words").where(F.col("w").endswith("."))
-    cut = F.array_join(F.concat(F.slice("words", 1, F.col("i")), F.array(F.lit("*")), F.slice("words", F.col("i") + 2, F.lit(99))), " ")
+    cut = F.array_join(F.concat(F.slice("words", 1, F.col("i")), F.array(F.lit("*")), F.slice("words", F.col("i") + 2, F.size("words"))), " ")
     asked = abbreviated.select("key", "loc", cut.alias("pattern"), F.regexp_replace("w", r"\.$", "").alias("start"))
     townless = want.where("town <> ''").select("key", "loc", F.concat(F.array_join("words", " "), F.lit(" *")).alias("pattern"), F.col("town").alias("start"))
     by_gap = asked.unionByName(townless).join(gaps, "pattern").where(F.col("word").startswith(F.col("start")))
@@ -338,28 +360,33 @@ def _parse_persons(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse_person(t) for t in texts], columns=["a", "b", "initial"])
 
 
-def _near_parts(rows: DataFrame) -> DataFrame:
-    """(org, w, v, d): parts of names of an organisation within the radius of each other. Two parts that are both established,
-    each in ``ESTABLISHED`` organisations or more and in a tenth as many as the other (Martin, Martina), are two names."""
-    parts = rows.select("org", F.explode(F.array_compact(F.array("a", "b"))).alias("w")).where(F.length("w") >= SHORTEST_PART).distinct()
-    parts = checkpointed(parts)
-    # The organisation parts the keys already; a few pivots bound the cells of the largest ones.
-    near = radius_join(parts, parts, "w", pivots=4, scope=("org",)).where("w <> known_key")
+def _near_parts(counts: DataFrame) -> DataFrame:
+    """(org, w, v, d, swap): parts of names (org, w, n) of an organisation within the radius of each other. Parts below
+    SHORTEST_PART letters differ by one edit or one swap of neighbours; parts of SHORTEST_PART or more by two edits, unless both
+    are established (each in ``ESTABLISHED`` organisations or more and in a tenth as many as the other: Martin, Martina) or both
+    are names that short forms stand for (Alexander, Alexandra)."""
+    full = F.array(*[F.lit(x) for x in sorted({squeeze(n) for n in " ".join(NICKNAMES.values()).split()})])
+    parts = checkpointed(counts.where(F.length("w") >= SHORTEST_SLIP_PART).select("org", "w"))
+    near = radius_join(parts, parts, "w", scope=("org",)).where("w <> known_key")
+    near = near.withColumn("slip", one_edit(F.col("w"), F.col("known_key")))
+    near = checkpointed(near.where(F.col("slip") | (F.least(F.length("w"), F.length("known_key")) >= SHORTEST_PART)))
     spread = checkpointed(parts.groupBy("w").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= ESTABLISHED))
     near = near.join(spread, "w", "left").join(spread.select(F.col("w").alias("known_key"), F.col("k").alias("l")), "known_key", "left")
     both = F.coalesce((F.col("k") * 10 >= F.col("l")) & (F.col("l") * 10 >= F.col("k")), F.lit(False))
-    return near.where(~both).select("org", "w", F.col("known_key").alias("v"), F.col("distance").alias("d"))
+    both = both | (F.array_contains(full, F.col("w")) & F.array_contains(full, F.col("known_key")))
+    return near.select("org", "w", F.col("known_key").alias("v"), F.col("distance").alias("d"), "slip", both.alias("apart"))
 
 
-def _followed(step: DataFrame) -> DataFrame:
-    """(node, target) with every chain of targets followed to its end. Each step leads upward in one order, so none is a cycle."""
-    at = checkpointed(step)
-    while True:
-        onward = at.select(F.col("node").alias("target"), F.col("target").alias("onward"))
-        at = checkpointed(at.join(onward, "target", "left").select("node", F.coalesce("onward", "target").alias("target"), F.col("onward").isNotNull().alias("moved")))
-        if not at.where("moved").limit(1).count():
-            return at.drop("moved")
-        at = at.drop("moved")
+def _standard_parts(counts: DataFrame, near: DataFrame) -> DataFrame:
+    """(org, w, standard): parts read as the most frequent part of the organisation one edit or swap away that is as frequent at
+    least, followed to the end; all others as they are."""
+    n = counts.select("org", "w", "n")
+    slips = near.where("slip").join(n, ["org", "w"]).join(n.select("org", F.col("w").alias("v"), F.col("n").alias("m")), ["org", "v"])
+    upward = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("v") < F.col("w")))
+    node = lambda c: F.concat_ws("\x1f", "org", c)
+    step = slips.where(upward).groupBy(node("w").alias("node")).agg(F.min(F.struct((-F.col("m")).alias("m"), node("v").alias("t")))["t"].alias("target"))
+    ends = followed(step).select(F.split("node", "\x1f")[0].alias("org"), F.split("node", "\x1f")[1].alias("w"), F.split("target", "\x1f")[1].alias("standard"))
+    return counts.select("org", "w").join(ends, ["org", "w"], "left").select("org", "w", F.coalesce("standard", "w").alias("standard"))
 
 
 def _slips(persons: DataFrame, near: DataFrame) -> DataFrame:
@@ -375,7 +402,7 @@ def _slips(persons: DataFrame, near: DataFrame) -> DataFrame:
     upward = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (target < node))
     best = read.join(there, ["org", "sa", "sb"]).where(upward).groupBy(node.alias("node")).agg(F.min(F.struct("d", (-F.col("m")).alias("m"), target.alias("target")))["target"].alias("target"))
     parts = lambda c: F.split(c, "")
-    return _followed(best).select(parts("node")[0].alias("org"), parts("node")[1].alias("a"), parts("node")[2].alias("b"), parts("target")[1].alias("sa"), parts("target")[2].alias("sb"))
+    return followed(best).select(parts("node")[0].alias("org"), parts("node")[1].alias("a"), parts("node")[2].alias("b"), parts("target")[1].alias("sa"), parts("target")[2].alias("sb"))
 
 
 def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> DataFrame:
@@ -385,7 +412,9 @@ def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> Da
     rows = cells.join(parsed, "t").join(classes.select(F.col(key).alias("id"), F.col("organisation").alias("org")), "id")
     rows = checkpointed(rows)
     parts = rows.select("org", F.explode(F.array_compact(F.array("a", "b"))).alias("w")).groupBy("org", "w").agg(F.count(F.lit(1)).alias("n"))
-    standard = checkpointed(standard_spellings(parts, ["org"], "w", ratio=1, shortest=4))
+    parts = checkpointed(parts)
+    near = checkpointed(_near_parts(parts))
+    standard = checkpointed(_standard_parts(parts, near))
     sa = standard.select("org", F.col("w").alias("a"), F.col("standard").alias("sa"))
     sb = standard.select("org", F.col("w").alias("b"), F.col("standard").alias("sb"))
     rows = rows.join(sa, ["org", "a"], "left").join(sb, ["org", "b"], "left")
@@ -393,7 +422,7 @@ def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> Da
     rows = checkpointed(rows)
     full = rows.where("b is not null")
     # Two edits: persons whose parts are within the radius of those of another.
-    near = checkpointed(_near_parts(rows))
+    near = near.where("not apart and length(w) >= {0} and length(v) >= {0}".format(SHORTEST_PART)).drop("slip", "apart")
     slips = _slips(full.groupBy("org", "a", "b").agg(F.count(F.lit(1)).alias("n")), near)
     slip = F.when(F.col("sa").isNotNull(), F.struct("a", "b")).alias("slip")
     full = checkpointed(full.join(slips, ["org", "a", "b"], "left").select("id", "t", "org", slip, F.coalesce("sa", "a").alias("a"), F.coalesce("sb", "b").alias("b")))
