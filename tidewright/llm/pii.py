@@ -41,7 +41,7 @@ INITIAL = -1.0
 SALUTATIONS = {"frau", "herr", "herrn", "fr", "hr", "mrs", "mr", "ms", "miss", "mme", "madame", "monsieur", "mlle", "mademoiselle", "señor", "señora", "signor", "signora"}
 TITLES = {"dr", "prof", "professor", "professorin", "dipl", "ing", "mag", "med", "phil", "jur", "rer", "nat", "sir", "dame", "rev", "pfarrer", "pastor"}
 GREETINGS = {"liebe", "lieber", "liebes", "hallo", "hi", "dear", "hello", "bonjour", "bonsoir", "cher", "chère", "chere", "moin", "servus", "salut", "hey", "morgen", "tag", "abend", "morning"}
-CLOSINGS = r"(?:grüße|grüsse|gruß|gruss|grüßen|grüssen|regards|wishes|best|herzlich|herzlichst|freundlich|cordialement|salutations|cheers|thanks|danke|dank|merci|mfg|lg|vg|sincerely|yours|faithfully|truly|vous|amitiés)"
+CLOSINGS = set("grüße grüsse gruß gruss grüßen grüssen regards wishes best herzlich herzlichst freundlich cordialement salutations cheers thanks danke dank merci mfg lg vg sincerely yours faithfully truly vous amitiés --".split())
 LABELS = {
     "name", "vorname", "nachname", "familienname", "nom", "prénom", "kontakt", "kontaktperson", "contact", "ansprechpartner", "ansprechpartnerin", "ansprechperson", "inhaber", "inhaberin", "geschäftsführer",
     "geschäftsführerin", "geschäftsführung", "vertreten", "autor", "autorin", "author", "verantwortlich", "unterschrift", "gezeichnet", "signed", "signature", "gez", "absender", "empfänger", "notiz", "teilnahme",
@@ -114,10 +114,12 @@ def _patterns() -> dict[str, re.Pattern]:
         "particle": re.compile(rf"^ {PARTICLES} $"),
         "lead": re.compile(rf"(?<![\w-])(?:{PARTICLES}) $"),
         "org": re.compile(r"(?i)^[ ]*(?:&|(?:g?gmbh|ag|eg|e\.\s?v\.|ug|gbr|kg|mbh|haftungsbeschränkt|ltd|inc|sarl)(?!\w))"),
-        "sign": re.compile(rf"(?:(?<!\w)(?i:{CLOSINGS})[,.! ]*\n+|(?:^|\n)[- ]{{0,2}}--[ ]*\n)[- ]*((?:{any_word}\.?[ ]|{any_word}\.-?){{0,5}}{any_word}(?:,[ ]{any_word}(?:[ ]\w\.)?)?)(?=[ ]*(?:\n|$|·|\||\(|,|  ))"),
+        "sign": re.compile(rf"\n+[- ]*((?:{any_word}\.?[ ]|{any_word}\.-?){{0,5}}{any_word}(?:,[ ]{any_word}(?:[ ]\w\.)?)?)(?=[ ]*(?:\n|$|·|\||\(|,|  ))"),
         "lower": re.compile(
             rf"(?:[:;,.!?(|\"\n=–·-][ ]*|  |^|(?<!\w)([^\W\d_]{{2,20}})[ ])(?=({lower})(?:([ ](?:\w\.[ ])*)|(,[ ]))({lower})((?:[ ]\w\.(?!\w))?))"
         ),
+        "digit": re.compile(r"\d"),
+        "digits": re.compile(r"\d(?:[ ./()-]{0,3}\d){5}"),
         "middle": re.compile(r"(?:[ ]\w\.)*"),
         "number_after": re.compile(r"[a-zßA-Z.][ ]+(?:[Nn][Rr]\.?[ ]*)?\d"),
         "street_end": re.compile(rf"{STREET_TYPES}$", re.I),
@@ -193,14 +195,16 @@ def _numbers(text: str) -> list[tuple[int, int, str, float]]:
             digits = re.sub(r"\D", "", m[0])
             out.append((m.start(), m.end(), kind, score(m[0], digits) + _near(text, m.start(), key)))
 
+    each("pass", "id_number", lambda *_: 0.15)
+    each("dni", "id_number", lambda s, _: 0.1 + 0.3 * mod23(s))
+    if not p["digits"].search(text):  # all others hold six digits or more
+        return out
     each("iban", "id_number", lambda s, _: 0.3 + 0.3 * (not s.startswith("DE") or len(re.sub(r"\s", "", s)) == 22) + 0.3 * mod97(s) if sum(c.isdigit() for c in s) >= 10 else 0.0)
     each("tax", "id_number", lambda _, d: 0.15 + 0.2 * (len(d) == 11 and mod11_10(d)))
     each("social", "id_number", lambda s, d: 0.55 if any(c.isalpha() for c in s) else 0.1 + 0.5 * insee(d))
     each("ssn", "id_number", lambda *_: 0.3)
     each("nino", "id_number", lambda *_: 0.35)
-    each("dni", "id_number", lambda s, _: 0.1 + 0.3 * mod23(s))
     each("ahv", "id_number", lambda _, d: 0.2 + 0.4 * ean13(d))
-    each("pass", "id_number", lambda *_: 0.15)
     each("card", "id_number", lambda _, d: 0.1 + 0.2 * luhn(d))
     for m in p["phone"].finditer(text):
         digits = len(re.sub(r"\D", "", m[0]))
@@ -338,17 +342,25 @@ class _Names:
                 if single or gap != " " and not (gap in (". ", ".-", ". -", "-") and (low in TITLES or low in SALUTATIONS)) and not (gap == "" and run[-1][2].endswith(".")) and not (len(gap) < 12 and p["particle"].match(gap)):
                     self.close(run, singles)
                     run = []
-                elif any(c.isdigit() for c in w):
+                elif not w.isalpha() and p["digit"].search(w):
                     self.close(run, singles)
                     run = []
-            if any(c.isdigit() for c in w) or "_" in w:
+            if not w.isalpha() and ("_" in w or p["digit"].search(w)):
                 continue
             run.append((s, e, w))
         self.close(run, singles)
         self.turned(singles)
-        if "\n" in text:
-            for m in p["sign"].finditer(text):
-                self.signature(m)
+        at = text.find("\n")
+        while at >= 0:
+            ending = text[max(0, at - 24) : at].rstrip(",.! ")
+            if ending and _key(ending[max(ending.rfind(" "), ending.rfind("\n")) + 1 :]) in CLOSINGS:
+                m = p["sign"].match(text, at)
+                if m:
+                    self.signature(m)
+            after = at + 1
+            while text[after : after + 1] == "\n":
+                after += 1
+            at = text.find("\n", after)
         for m in p["lower"].finditer(text):
             if m[1] and m[1].lower() not in BEFORE_NAME:
                 continue
@@ -421,7 +433,7 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int,
         for m in p["email"].finditer(text):
             spans.append((m.start(), m.end(), "email", 0.9))
             mails.append(m[0])
-    if any(c in text for c in "0123456789"):
+    if p["digit"].search(text):
         spans += _numbers(text)
         german = any(p["street_end"].search(text, max(0, m.start() - 11), m.start() + 1) for m in p["number_after"].finditer(text))
         for key in ("address", "english", "french") if german else ("english", "french"):
