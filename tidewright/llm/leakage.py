@@ -21,16 +21,17 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.functions.text import fold_accents
+from tidewright.functions.memo import memo
 from tidewright.session import broadcast_if_small, checkpointed
 
 WORDS = 12
@@ -46,14 +47,20 @@ _WORD = re.compile(r"[^\W_]+")
 _TURN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def folded(text: Column) -> Column:
-    """Lower case, without accents, ß as ss; "" for null."""
-    return F.replace(fold_accents(F.lower(F.coalesce(text, F.lit("")))), F.lit("ß"), F.lit("ss"))
+@memo
+def _marks() -> re.Pattern:
+    """Combining marks of the basic plane."""
+    return re.compile("[" + "".join(re.escape(chr(c)) for c in range(0x300, 0x10000) if unicodedata.combining(chr(c))) + "]+")
 
 
-def words(text: Column) -> Column:
-    """Runs of letters and digits of the folded text; an empty array for null."""
-    return F.regexp_extract_all(folded(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+def words(text: str | None) -> list[str]:
+    """Runs of letters and digits, lower case, without accents, ß as ss."""
+    if not text:
+        return []
+    s = text.lower()
+    if not s.isascii():
+        s = _marks().sub("", unicodedata.normalize("NFKD", s.replace("ß", "ss")))
+    return _WORD.findall(s)
 
 
 def functions_of(size: float, passage: int, miss: float = MISS) -> int:
@@ -70,10 +77,10 @@ def _mixed(h: np.ndarray, seed: int) -> np.ndarray:
 
 
 class _Batch:
-    """Words and shingle hashes of a batch of folded texts."""
+    """Words and shingle hashes of a batch of texts."""
 
     def __init__(self, texts: list[str], n_words: int, shingle: int) -> None:
-        self.words = [_WORD.findall(t) if t else [] for t in texts]
+        self.words = [words(t) for t in texts]
         self.n_words, self.shingle, self.q = n_words, shingle, n_words - shingle + 1
         sizes = np.array([len(w) for w in self.words], dtype=np.int64)
         self.at = np.concatenate([[0], np.cumsum(sizes)])
@@ -206,7 +213,7 @@ def item_signatures(items: DataFrame, key: str, text: str, n_words: int = WORDS,
     """(value, key, window): the values of every passage of every item."""
     q = n_words - shingle + 1
     values = _item_values(n_words, shingle, functions_of(int(q * CLASSES[-1]), q))
-    found = items.select(key, F.explode(values(folded(F.col(text)))).alias("x"))
+    found = items.select(key, F.explode(values(F.col(text))).alias("x"))
     return found.select("x.value", key, F.col("x.passage").alias("window")).distinct()
 
 
@@ -218,6 +225,6 @@ def leaks(docs: DataFrame, doc_key: str, items: DataFrame, item_key: str, text:
     """
     queries = checkpointed(item_signatures(items, item_key, text, n_words, shingle))
     values = _block_values(n_words, shingle, bloom_filter(queries))
-    met = docs.select(doc_key, F.explode(values(folded(F.col(text)))).alias("x")).select(doc_key, "x.value", "x.passage").join(broadcast_if_small(queries), "value")
+    met = docs.select(doc_key, F.explode(values(F.col(text))).alias("x")).select(doc_key, "x.value", "x.passage").join(broadcast_if_small(queries), "value")
     inside = F.concat(F.lit(" "), "passage", F.lit(" ")).contains(F.concat(F.lit(" "), "window", F.lit(" ")))
     return met.where(inside).select(doc_key, item_key).distinct()
