@@ -33,7 +33,7 @@ def followed(step: DataFrame) -> DataFrame:
     while True:
         onward = at.select(F.col("node").alias("target"), F.col("target").alias("onward"))
         at = checkpointed(at.join(onward, "target", "left").select("node", F.coalesce("onward", "target").alias("target"), F.col("onward").isNotNull().alias("moved")))
-        if not at.where("moved").limit(1).count():
+        if at.where("moved").isEmpty():
             return at.drop("moved")
         at = at.drop("moved")
 

@@ -34,7 +34,7 @@ from tidewright.session import broadcast_if_small, checkpointed
 
 #: Pivots drawn from a cell that is divided, pairs that a cell may compare, and divisions at most.
 PIVOTS = 64
-HEAVY = 400_000
+HEAVY = 20_000_000
 LEVELS = 4
 #: Edit radius of names (two: a swap of neighbours costs two edits); keys below SHORTEST letters meet within one edit or swap,
 #: those below SHORTEST_SLIP (initials, where one letter makes another name) exactly.
@@ -48,11 +48,18 @@ SHORTEST_SLIP_PART = 4
 #: Organisations from which a part of persons' names counts as established.
 ESTABLISHED = 3
 
+#: Bounds of a broadcast here: many lookup tables live side by side, and the driver keeps each until it is collected.
+FEW_ROWS, FEW_BYTES = 20_000, 1 << 20
+
 _HOST = r"((?:[A-Z0-9](?:[A-Z0-9-]*[A-Z0-9])?\.)++[A-Z]{2,})"
 _EMAIL_HOST = rf"(?i)^[A-Z0-9_%+-]++(?:\.[A-Z0-9_%+-]++)*+@{_HOST}$"
 _WEB_HOST = rf"(?i)^(?:https?://)?(?:www\.)?{_HOST}(?::[0-9]++)?(?:[/?]\S*+)?$"
 
 
+def _small(df: DataFrame) -> DataFrame:
+    return broadcast_if_small(df, FEW_ROWS, FEW_BYTES)
+
+
 def email_host(c: Column | str) -> Column:
     """Lower-case host of a well-formed e-mail address; null for anything else."""
     return F.nullif(F.lower(F.regexp_extract(strip(c), _EMAIL_HOST, 1)), F.lit(""))
@@ -157,16 +164,17 @@ def radius_join(unknown: DataFrame, known: DataFrame, key: str, radius: int = RA
     number of heavy cells reaches the driver.
     """
     group = [*scope, "cell"]
-    u = unknown.select(*scope, key, F.lit("").alias("cell"), F.lit(None).cast("int").alias("_du"))
-    k = known.select(*scope, F.col(key).alias("known_key"), F.lit("").alias("cell"), F.lit(None).cast("int").alias("_dk"))
+    u = unknown.select(*scope, key, F.substring(key, 1, 0).alias("cell"), F.lit(None).cast("int").alias("_du"))
+    k = known.select(*scope, F.col(key).alias("known_key"), F.substring(key, 1, 0).alias("cell"), F.lit(None).cast("int").alias("_dk"))
     for _ in range(levels):
         sizes = u.groupBy(*group).agg(F.count(F.lit(1)).alias("_nu")).join(k.groupBy(*group).agg(F.count(F.lit(1)).alias("_nk")), group)
-        cells = checkpointed(sizes.where(F.col("_nu") * F.col("_nk") > heavy).select(*group))
-        if not cells.limit(1).count():
+        cells = sizes.where(F.col("_nu") * F.col("_nk") > heavy).select(*group)
+        if cells.isEmpty():
             break
-        chosen = broadcast_if_small(cells)
+        cells = checkpointed(cells)
+        chosen = _small(cells)
         drawn = k.join(chosen, group).groupBy(*group, F.pmod(F.xxhash64("known_key"), F.lit(pivots)).alias("_b")).agg(F.min_by("known_key", F.xxhash64("known_key", F.lit(1))).alias("_p"))
-        centres = broadcast_if_small(checkpointed(drawn.groupBy(*group).agg(F.array_sort(F.collect_list("_p")).alias("_c"))))
+        centres = _small(checkpointed(drawn.groupBy(*group).agg(F.array_sort(F.collect_list("_p")).alias("_c"))))
         du = F.transform("_c", lambda p: F.levenshtein(F.col(key), p))
         own = u.join(centres, group).withColumn("_d", du).withColumn("_du", F.array_min("_d"))
         place = F.array_position("_d", F.col("_du")).cast("string")
@@ -196,18 +204,18 @@ def organisation_classes(contacts: DataFrame, key: str = "ID") -> DataFrame:
     rows = checkpointed(cells.join(names.withColumnRenamed("name", "n2"), F.col("name") == F.col("n2"), "left").drop("n2"))
     stacked = rows.select("key", F.explode(F.array_distinct(F.array_compact(F.array("eh", "wh")))).alias("host"))
     hosts = checkpointed(own_hosts(stacked))
-    known = broadcast_if_small(hosts)
+    known = _small(hosts)
     rows = rows.join(known.select(F.col("host").alias("wh"), F.col("host").alias("w")), "wh", "left").join(known.select(F.col("host").alias("eh"), F.col("host").alias("e")), "eh", "left")
     # A misspelt address tells its organisation beside a name, if its label is that of one known host.
     labels = hosts.select(F.regexp_extract("host", r"^([^.]+)", 1).alias("label"), "host").groupBy("label").agg(F.min("host").alias("h"), F.count(F.lit(1)).alias("c")).where("c = 1")
-    labels = broadcast_if_small(checkpointed(labels.select("label", "h")))
+    labels = labels.select("label", "h")
     rows = rows.join(labels.select(F.col("label").alias("wl"), F.col("h").alias("lw")), "wl", "left").join(labels.select(F.col("label").alias("el"), F.col("h").alias("le")), "el", "left")
     helped = F.when(F.col("key").isNotNull(), F.coalesce("lw", "le"))
     rows = checkpointed(rows.withColumn("host", F.coalesce("w", "e", helped)).select("id", "name", "key", "bag", "words", "loc", "host"))
     told = rows.where("host is not null and key is not null")
     spelled_keys = told.select("key", "host").distinct().unionByName(hosts.select(host_label(F.col("host")).alias("key"), "host")).distinct()
     by_key = checkpointed(_only(spelled_keys, "key").select("key", F.col("h").alias("key_host")))
-    by_bag = checkpointed(_only(told.select("bag", "host").distinct(), "bag").select("bag", F.col("h").alias("bag_host")))
+    by_bag = _only(told.select("bag", "host").distinct(), "bag").select("bag", F.col("h").alias("bag_host"))
     open_ = rows.where("host is null and key is not null").join(by_key, "key", "left").join(by_bag, "bag", "left").withColumn("found", F.coalesce("key_host", "bag_host"))
     open_ = checkpointed(open_.select("id", "name", "key", "bag", "words", "loc", "found", "key_host", "bag_host"))
     rest = checkpointed(open_.where("found is null").select("key", "bag", "words", "loc").distinct())
@@ -366,11 +374,11 @@ def _near_parts(counts: DataFrame) -> DataFrame:
     are established (each in ``ESTABLISHED`` organisations or more and in a tenth as many as the other: Martin, Martina) or both
     are names that short forms stand for (Alexander, Alexandra)."""
     full = F.array(*[F.lit(x) for x in sorted({squeeze(n) for n in " ".join(NICKNAMES.values()).split()})])
-    parts = checkpointed(counts.where(F.length("w") >= SHORTEST_SLIP_PART).select("org", "w"))
+    parts = counts.where(F.length("w") >= SHORTEST_SLIP_PART).select("org", "w")
     near = radius_join(parts, parts, "w", scope=("org",)).where("w <> known_key")
     near = near.withColumn("slip", one_edit(F.col("w"), F.col("known_key")))
-    near = checkpointed(near.where(F.col("slip") | (F.least(F.length("w"), F.length("known_key")) >= SHORTEST_PART)))
-    spread = checkpointed(parts.groupBy("w").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= ESTABLISHED))
+    near = near.where(F.col("slip") | (F.least(F.length("w"), F.length("known_key")) >= SHORTEST_PART))
+    spread = parts.groupBy("w").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= ESTABLISHED)
     near = near.join(spread, "w", "left").join(spread.select(F.col("w").alias("known_key"), F.col("k").alias("l")), "known_key", "left")
     both = F.coalesce((F.col("k") * 10 >= F.col("l")) & (F.col("l") * 10 >= F.col("k")), F.lit(False))
     both = both | (F.array_contains(full, F.col("w")) & F.array_contains(full, F.col("known_key")))
@@ -414,7 +422,7 @@ def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> Da
     parts = rows.select("org", F.explode(F.array_compact(F.array("a", "b"))).alias("w")).groupBy("org", "w").agg(F.count(F.lit(1)).alias("n"))
     parts = checkpointed(parts)
     near = checkpointed(_near_parts(parts))
-    standard = checkpointed(_standard_parts(parts, near))
+    standard = _standard_parts(parts, near)
     sa = standard.select("org", F.col("w").alias("a"), F.col("standard").alias("sa"))
     sb = standard.select("org", F.col("w").alias("b"), F.col("standard").alias("sb"))
     rows = rows.join(sa, ["org", "a"], "left").join(sb, ["org", "b"], "left")
@@ -436,7 +444,6 @@ def person_pairs(contacts: DataFrame, classes: DataFrame, key: str = "ID") -> Da
     formal = persons.select("org", F.col("a").alias("fa"), F.col("b").alias("fb"), F.col("n").alias("fn"))
     chosen = nick.join(formal, ["org", "fa", "fb"], "left").groupBy("org", "a", "b").agg(F.min(F.struct(F.coalesce(-F.col("fn"), F.lit(0)).alias("o"), "fa", "fb")).alias("c"))
     full = full.join(chosen, ["org", "a", "b"], "left").select("id", "t", "org", "slip", F.coalesce("c.fa", "a").alias("a"), F.coalesce("c.fb", "b").alias("b"))
-    full = checkpointed(full)
     # Half of a double name with the same first name is the bearer of the double name, if there is one only.
     pairs_ = full.select("org", "a", "b").distinct()
     halves = pairs_.select("org", "a", "b", F.explode(swaps).alias("x")).where(F.contains(F.col("x.nick"), F.lit("-")))
