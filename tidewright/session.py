@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes up to which a side may be broadcast; beyond either the join shuffles.
 BROADCAST_ROWS = 50_000
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,7 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = B
     """``df`` with a broadcast hint if it has at most ``limit`` rows of ``size`` bytes in all, else unchanged (the join then
     shuffles). Looks at ``limit + 1`` rows at most; pass a frame that is cheap to evaluate, such as a checkpointed one.
     """
-    long = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    widths = [F.octet_length(F.col(f"`{c}`")) if t in ("string", "binary") else F.octet_length(F.to_json(F.struct(f"`{c}`"))) if "<" in t else F.lit(8) for c, t in df.dtypes]
+    long = F.coalesce(F.sum(sum((F.coalesce(w, F.lit(0)) for w in widths), F.lit(0))), F.lit(0))
     rows, bytes_ = df.limit(limit + 1).agg(F.count(F.lit(1)), long).first()
     return F.broadcast(df) if rows <= limit and bytes_ <= size else df
