@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewright.session import checkpointed
+
 #: Share of the shared rows' values that must agree for a rename.
 RENAME_AGREEMENT = 0.8
 
@@ -80,14 +82,14 @@ def fingerprints(version: DataFrame) -> DataFrame:
 
 def changes(cell: DataFrame) -> DataFrame:
     """(source_file, load_no, change_kind, old_field, new_field) against the same file's load before."""
-    v = versions(cell)
+    v = checkpointed(versions(cell))
     old = v.where(F.col("next_load").isNotNull()).select("source_file", F.col("next_load").alias("load_no"), "field", F.col("kind").alias("old_kind"), F.lit(True).alias("was"))
     new = v.where(F.col("prev_load").isNotNull()).select("source_file", "load_no", "field", "kind", F.lit(True).alias("is"))
-    both = old.join(new, ["source_file", "load_no", "field"], "full")
+    both = checkpointed(old.join(new, ["source_file", "load_no", "field"], "full"))
     typed = both.where("was and is and old_kind <> kind").select("source_file", "load_no", F.lit("type_changed").alias("change_kind"), F.col("field").alias("old_field"), F.col("field").alias("new_field"))
     gone = both.where("is is null").select("source_file", "load_no", "field")
     come = both.where("was is null").select("source_file", "load_no", "field")
-    renamed = renames(cell, v, gone, come)
+    renamed = checkpointed(renames(cell, v, gone, come))
     left = gone.join(renamed.select("source_file", "load_no", F.col("old_field").alias("field")), ["source_file", "load_no", "field"], "left_anti")
     right = come.join(renamed.select("source_file", "load_no", F.col("new_field").alias("field")), ["source_file", "load_no", "field"], "left_anti")
     return (
@@ -162,8 +164,6 @@ def staging_columns(cell: DataFrame, names: DataFrame, staging: DataFrame, colum
 def consolidate(records: DataFrame, staging: DataFrame, columns: list[str]) -> DataFrame:
     """Every record in the staging columns, whatever its file called them: (record_id, source_file, load_no, source_row,
     extra, the columns). ``extra`` is a JSON object of the migrated fields that feed no staging column."""
-    from tidewright.session import checkpointed
-
     cell = checkpointed(cells(records))
     names = newest_names(versions(cell), changes(cell))
     target = staging_columns(cell, names, staging, columns)

@@ -120,6 +120,37 @@ WHERE """ + " OR ".join([
         _SHIFT_TERM.format(a="a.n_pattern", b="b.n_pattern", n1="a.n_rows", n0="b.n_rows"),
         _SHIFT_TERM.format(a="a.n_top", b="b.n_top", n1="a.n_present", n0="b.n_present"),
     ]),
+    "p1_shift_scores": _CELLS + """,
+m AS (SELECT load_no, column_name, n_rows - n_missing AS n, CASE WHEN n_rows > n_missing THEN sum_len_1::DOUBLE / (n_rows - n_missing) END AS mean, sum_len_2::DOUBLE AS s2 FROM profiled),
+s AS (SELECT load_no, column_name, mean, CASE WHEN n > 0 THEN sqrt(greatest(s2 / n - mean * mean, 0)) END AS std FROM m)
+SELECT a.load_no, a.column_name, round(a.mean, 6) AS mean_len, round(a.std, 6) AS std_len,
+    CASE WHEN a.std * a.std + b.std * b.std > 0 THEN round(abs(a.mean - b.mean) / sqrt((a.std * a.std + b.std * b.std) / 2), 6) END AS smd_len
+FROM s a LEFT JOIN s b ON b.column_name = a.column_name AND b.load_no = a.load_no - 1""",
+    "p6_found": """
+WITH c AS (SELECT record_id, Source_File AS f, load_no AS l, Source_Row AS r, e.key AS k, e.type AS t, e.value AS v, e.value ->> '$' AS x
+    FROM raw_records, json_each(payload) e WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
+q AS (SELECT *, CASE WHEN t = 'NULL' THEN NULL WHEN t = 'VARCHAR' THEN CASE WHEN regexp_matches(x, '[^\\s\\p{Z}]') THEN 'text' END WHEN t = 'BOOLEAN' THEN 'boolean'
+    WHEN t = 'ARRAY' THEN CASE WHEN json_array_length(v) > 0 THEN 'list' END WHEN t = 'OBJECT' THEN CASE WHEN v::VARCHAR <> '{}' THEN 'object' END ELSE 'number' END AS kind FROM c),
+n AS (SELECT f, l, k, kind, count(*) AS n FROM q GROUP BY ALL),
+ver AS (SELECT f, l, k, kind FROM n QUALIFY row_number() OVER (PARTITION BY f, l, k ORDER BY kind IS NULL, n DESC, kind) = 1),
+loads AS (SELECT f, l, lag(l) OVER (PARTITION BY f ORDER BY l) AS p FROM (SELECT DISTINCT f, l FROM ver)),
+new AS (SELECT v.*, p FROM ver v JOIN loads USING (f, l) WHERE p IS NOT NULL),
+old AS (SELECT v.f, loads.l, v.k, v.kind FROM ver v JOIN loads ON loads.f = v.f AND loads.p = v.l),
+come AS (SELECT f, l, p, k FROM new WHERE NOT EXISTS (FROM old o WHERE o.f = new.f AND o.l = new.l AND o.k = new.k)),
+gone AS (SELECT o.f, o.l, loads.p, k FROM old o JOIN loads USING (f, l) WHERE NOT EXISTS (FROM new w WHERE w.f = o.f AND w.l = o.l AND w.k = o.k)),
+cell AS (SELECT f, l, r, k, arg_max(x, record_id) AS x FROM q WHERE kind IS NOT NULL GROUP BY ALL),
+rws AS (SELECT DISTINCT f, l, r FROM q),
+a AS (SELECT g.f, g.l, g.k, c.r, c.x FROM gone g JOIN cell c ON c.f = g.f AND c.l = g.p AND c.k = g.k JOIN rws s ON s.f = g.f AND s.l = g.l AND s.r = c.r),
+b AS (SELECT g.f, g.l, g.k, c.r, c.x FROM come g JOIN cell c ON c.f = g.f AND c.l = g.l AND c.k = g.k JOIN rws s ON s.f = g.f AND s.l = g.p AND s.r = c.r),
+na AS (SELECT f, l, k, count(*) AS n FROM a GROUP BY ALL), nb AS (SELECT f, l, k, count(*) AS n FROM b GROUP BY ALL),
+same AS (SELECT a.f, a.l, a.k AS o, b.k AS w, count(*) AS n FROM a JOIN b USING (f, l, r, x) GROUP BY ALL),
+ranked AS (SELECT same.*, same.n / greatest(na.n, nb.n) AS share FROM same JOIN na ON na.f = same.f AND na.l = same.l AND na.k = o JOIN nb ON nb.f = same.f AND nb.l = same.l AND nb.k = w WHERE same.n / greatest(na.n, nb.n) >= 0.8),
+ren AS (SELECT f, l, o, w FROM ranked QUALIFY row_number() OVER (PARTITION BY f, l, o ORDER BY share DESC, n DESC, levenshtein(lower(o), lower(w)), o, w) = 1
+    AND row_number() OVER (PARTITION BY f, l, w ORDER BY share DESC, n DESC, levenshtein(lower(o), lower(w)), o, w) = 1)
+SELECT f AS source_file, l AS load_no, 'renamed' AS change_kind, o AS old_field, w AS new_field FROM ren
+UNION ALL SELECT f, l, 'removed', k, '' FROM gone WHERE NOT EXISTS (FROM ren WHERE ren.f = gone.f AND ren.l = gone.l AND ren.o = gone.k)
+UNION ALL SELECT f, l, 'added', '', k FROM come WHERE NOT EXISTS (FROM ren WHERE ren.f = come.f AND ren.l = come.l AND ren.w = come.k)
+UNION ALL SELECT new.f, new.l, 'type_changed', new.k, new.k FROM new JOIN old ON old.f = new.f AND old.l = new.l AND old.k = new.k WHERE old.kind <> new.kind""",
     "p6_versions": """
 WITH f AS (SELECT Source_File AS source_file, load_no, unnest(json_keys(payload)) AS field, payload FROM raw_records),
 k AS (SELECT source_file, load_no, field, payload -> ('$."' || field || '"') AS j FROM f),

@@ -92,7 +92,8 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
     """(site, url, page_type, page_ord, html), three per organisation with a site."""
     text = lambda x: F.replace(F.replace(F.coalesce(F.col(x), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     t = table(spark, d, "organisations_enriched").where("Website_Normalized is not null")
-    o = t.select(u.url_key("Website_Normalized").alias("site"), text("Organisation_Name").alias("n"), text("Address").alias("a"), u.bare_host("Website_Normalized").alias("h")).dropDuplicates(["site"])
+    row = F.struct(text("Organisation_Name").alias("n"), text("Address").alias("a"), u.bare_host("Website_Normalized").alias("h"))
+    o = t.groupBy(u.url_key("Website_Normalized").alias("site")).agg(F.min_by(row, "Organisation_ID").alias("o")).select("site", "o.*")
     cat = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) and not x.startswith("$") else F.col(x[1:]) for x in xs])
     home = cat("<html><head><title>", "$n", " | Start</title><meta property='og:site_name' content='' ></head><body><nav><a href='#top'>x</a><a href='/impressum'>Impressum</a><a href='kontakt.html'>Kontakt</a></nav><h1>Willkommen</h1><p>Offen<p>Werkstatt</body></html>")
     legal = cat("<html><head><title>Impressum</title><script type='application/ld+json'>{\"@graph\":[{\"@type\":\"Organization\",\"email\":\"mailto:post@", "$h", "\"}]}</script></head><body><h1>Impressum</h1><p>Anbieter: ", "$n", "</p><p>", "$a", "</p><footer>Stand 2024</footer></body></html>")
@@ -112,7 +113,22 @@ def parsed_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def soft_errors(spark: SparkSession, d: str) -> DataFrame:
-    return pg.parsed_pages(_pages(spark, d)).select("url", pg.is_soft_error(F.col("doc")).alias("soft_error"))
+    """Which pages are error pages in disguise: each site's pages, and a page under its own answer whose title or heading is the
+    response text and name of the organisation's row."""
+    t = table(spark, d, "organisations_enriched").where("Website_Normalized is not null")
+    text = lambda x: F.replace(F.replace(F.coalesce(F.col(x), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    phrase = F.element_at(F.array(*[F.lit(x) for x in ERROR_TITLES]), (F.col("Organisation_ID") % len(ERROR_TITLES) + 1).cast("int"))
+    title = F.concat(text("Website_Response_Text"), F.lit(" | "), text("Organisation_Name"))
+    shown = F.array(
+        F.struct(F.lit("/t").alias("p"), F.concat(F.lit("<title>"), title, F.lit("</title><h1>Willkommen</h1>")).alias("html")),
+        F.struct(F.lit("/h").alias("p"), F.concat(F.lit("<title>x</title><h1>"), phrase, F.lit("</h1><p>Text")).alias("html")),
+    )
+    more = t.select(F.col("Organisation_ID").cast("string").alias("id"), F.explode(shown).alias("x")).select(F.concat("id", "x.p").alias("url"), "x.html")
+    return pg.parsed_pages(_pages(spark, d).select("url", "html").unionByName(more)).select("url", pg.is_soft_error(F.col("doc")).alias("soft_error"))
+
+
+#: Headings of pages, of which some say that there is no page.
+ERROR_TITLES = ["404", "Seite nicht gefunden", "Page not found", "Service unavailable", "Not found here", "Über uns", "Access denied", "Zugriff verweigert!", "Error 404", "Kontakt"]
 
 
 def discovered_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -130,7 +146,7 @@ def loadable_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def linked_objects(spark: SparkSession, d: str) -> DataFrame:
-    return pg.linked_objects(_docs(spark, d)).select("site", "url", "pos", F.to_json("obj").alias("obj"))
+    return pg.linked_objects(_docs(spark, d)).select("site", "url", F.array_join(F.col("pos").cast("array<string>"), ".").alias("pos"), F.to_json("obj").alias("obj"))
 
 
 def page_names(spark: SparkSession, d: str) -> DataFrame:
@@ -301,7 +317,26 @@ ORACLE = {
     "filled_domains": f"SELECT ID, coalesce(Email_Domain, d) AS Email_Domain, CASE WHEN Email_Domain IS NULL AND d IS NOT NULL THEN 'Derived from email' ELSE Email_Domain_Source END AS Email_Domain_Source FROM (SELECT *, CASE WHEN contains(Email, '@') THEN lower({_strip('substring(Email, instr(Email, chr(64)) + 1)')}) END AS d FROM contacts_enriched)",
     "cleared_contacts": f"WITH t AS (SELECT *, coalesce({_EFF} IS NOT NULL AND NOT {_hosts(_bare(_EFF), v.BLOCKED_HOSTS)} AND {_val('Website_Response_Code')} = '200', false) AS ok, coalesce(starts_with(lower(trim(Address_Source)), 'website'), false) AS w FROM contacts_enriched) SELECT ID, CASE WHEN NOT ok AND w THEN NULL ELSE Address END AS Address, CASE WHEN NOT ok AND w THEN NULL ELSE Address_Source END AS Address_Source, CASE WHEN NOT ok AND w THEN NULL ELSE Address_Alternatives END AS Address_Alternatives FROM t",
     "updated_websites": "WITH f AS (SELECT Email_Domain, Website, count(*) AS n FROM contacts_enriched WHERE Website IS NOT NULL AND Email_Domain IS NOT NULL GROUP BY ALL), b AS (SELECT Email_Domain, arg_max(Website, (n, Website)) AS s FROM f GROUP BY ALL) SELECT ID, coalesce(t.Website, b.s) AS Website, CASE WHEN t.Website IS NULL AND b.s IS NOT NULL THEN 'Email domain' ELSE Website_Source END AS Website_Source FROM contacts_enriched t LEFT JOIN b ON b.Email_Domain = t.Email_Domain",
-    "soft_errors": f"SELECT site || p AS url, false AS soft_error FROM {_SITES}, (SELECT unnest(['', '/impressum', '/kontakt.html']) AS p)",
+    "soft_errors": f"""WITH n AS (SELECT {_url_key('Website_Normalized')} AS site, arg_min(coalesce(Organisation_Name, ''), Organisation_ID) AS name FROM organisations_enriched WHERE Website_Normalized IS NOT NULL GROUP BY 1),
+o AS (SELECT *, [{', '.join(f"'{x}'" for x in ERROR_TITLES)}][Organisation_ID % {len(ERROR_TITLES)} + 1] AS h FROM organisations_enriched WHERE Website_Normalized IS NOT NULL)
+SELECT site || p AS url, p = '' AND regexp_matches(name, '(?i){v.SOFT_ERROR}') AS soft_error FROM n, (SELECT unnest(['', '/impressum', '/kontakt.html']) AS p)
+UNION ALL SELECT Organisation_ID || '/t', regexp_matches(coalesce(Website_Response_Text, '') || ' | ' || coalesce(Organisation_Name, ''), '(?i){v.SOFT_ERROR}') FROM o
+UNION ALL SELECT Organisation_ID || '/h', regexp_full_match(h, '(?i)(?:{v.SOFT_ERROR})') FROM o""",
+    "linked_objects": f"""SELECT site, site || '/impressum' AS url, '0.0.0' AS pos, '{{"@type":"Organization","email":"mailto:post@' || h || '"}}' AS obj FROM {_SITES}""",
+    "parsed_pages": f"""WITH o AS (SELECT {_url_key('Website_Normalized')} AS site, arg_min({{'n': coalesce(Organisation_Name, ''), 'a': coalesce(Address, ''), 'h': {_bare('Website_Normalized')}}}, Organisation_ID) AS o
+    FROM organisations_enriched WHERE Website_Normalized IS NOT NULL GROUP BY 1)
+SELECT site, site AS url, 'Homepage' AS page_type, {_strip("o.n || ' | Start'")} AS title, 'x Impressum Kontakt Willkommen Offen Werkstatt' AS text, '' AS footer, 3::INT AS n_anchors FROM o
+UNION ALL SELECT site, site || '/impressum', 'Impressum', 'Impressum', array_to_string(list_filter(['Impressum', {_strip("'Anbieter: ' || o.n")}, {_strip('o.a')}, 'Stand 2024'], lambda q: q <> ''), ' '), 'Stand 2024', 0 FROM o
+UNION ALL SELECT site, site || '/kontakt.html', 'Contact', 'Kontakt', 'Schreiben team (at) ' || o.h || ' oder noreply@' || o.h, '', 1 FROM o""",
+    "search_ranking": rf"""WITH g AS (SELECT DISTINCT Organisation_Name, lower(regexp_extract(Organisation_Name, '^\s*(\S+)', 1)) AS w FROM organisations_enriched WHERE Organisation_Name IS NOT NULL),
+s AS (SELECT DISTINCT lower(regexp_extract(Organisation_Name, '^\s*(\S+)', 1)) AS w, Website_Normalized AS URL FROM organisations_enriched WHERE Organisation_Name IS NOT NULL AND Website_Normalized IS NOT NULL),
+r AS (SELECT Organisation_Name, URL, row_number() OVER (PARTITION BY Organisation_Name ORDER BY URL) AS Rank,
+    list_distinct(list_filter(regexp_extract_all(lower({_clean('Organisation_Name')}), '[a-zäöüß]+'), lambda q: length(q) > 2 AND q NOT IN {_in(v.STOPWORDS)})) AS kw FROM g JOIN s USING (w)),
+h AS (SELECT *, {_bare('URL')} AS host, {_PATH.replace('Website', 'URL')} AS path FROM r),
+p AS (SELECT *, (CASE WHEN {_hosts('host', v.DIRECTORY_HOSTS)} THEN -1 ELSE coalesce(list_sum(list_transform(kw, lambda q: CASE WHEN contains(host, q) THEN 2 WHEN contains(path, q) THEN 1 ELSE 0 END)), 0) END)::INT AS Score FROM h),
+b AS (SELECT Organisation_Name, arg_max(URL, (Score, -Rank)) AS u FROM p GROUP BY ALL)
+SELECT p.Organisation_Name, Rank::INT AS Rank, Score, CASE WHEN URL = b.u THEN 'yes' ELSE 'no' END AS Selected, URL FROM p JOIN b ON b.Organisation_Name = p.Organisation_Name""",
+    "checked_websites": f"WITH s AS (SELECT DISTINCT Website FROM organisations_enriched WHERE Website IS NOT NULL), b AS (SELECT Website AS site, {_VARIANT_BASE} AS b FROM s) SELECT site, 'https://www.' || b AS website, '200' AS code, 'OK' AS text FROM b WHERE b <> ''",
     "discovered_pages": f"SELECT site, CASE t WHEN 'Impressum' THEN site || '/impressum' WHEN 'Contact' THEN site || '/kontakt.html' WHEN 'About' THEN site || '/ueber-uns' ELSE site || '/team' END AS url, t AS page_type, t IN ('About', 'Team') AS guessed FROM {_SITES}, (SELECT unnest(['Impressum', 'Contact', 'About', 'Team']) AS t)",
     "manifests": f"SELECT site, p AS page_ord, ['Homepage', 'Impressum', 'Contact'][p + 1] AS page_type, site || ['', '/impressum', '/kontakt.html'][p + 1] AS url FROM {_SITES}, (SELECT unnest([0, 1, 2])::INT AS p)",
     "loadable_pages": f"SELECT site, p AS page_ord, ['Homepage', 'Impressum', 'Contact'][p + 1] AS page_type, site || ['', '/impressum', '/kontakt.html'][p + 1] AS url FROM {_SITES}, (SELECT unnest([0, 1, 2])::INT AS p)",

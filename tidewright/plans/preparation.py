@@ -254,8 +254,26 @@ def _priority() -> str:
     return " + ".join(f"({x})" for x in parts)
 
 
+def _plausible(x: str) -> str:
+    t = rf"regexp_replace(regexp_replace({x}, '[\s\p{{Z}}]+', ' ', 'g'), '^[ \t\r\n|,;:-]+|[ \t\r\n|,;:-]+$', '', 'g')"
+    forms = "|".join(p for p, _, _ in v.LEGAL_FORMS)
+    no = [v.ERROR_NAME, r"https?://|www\.|linkedin\.com|facebook\.com", r"^[\p{L}\p{M}\p{N}_-]+(?:\.[\p{L}\p{M}\p{N}_-]+)+/?$", f"^(?:{forms})$"]
+    tests = " AND ".join(f"NOT regexp_matches({t}, '(?i){r}')" for r in no)
+    return f"coalesce(length({t}) BETWEEN 3 AND 140 AND lower({t}) NOT IN {_in(v.GENERIC_TITLES)} AND regexp_matches({t}, '[A-Za-zÄÖÜäöüß]') AND {tests}, false)"
+
+
+def _title(x: str) -> str:
+    s = _clean(x)
+    tries = []
+    for sep in v.TITLE_SEPARATORS:
+        first = f"trim(split_part({s}, '{sep}', 1))"
+        tries.append(f"WHEN contains({s}, '{sep}') AND {_plausible(first)} THEN {first}")
+    return f"CASE {' '.join(tries)} WHEN {_plausible(s)} THEN {s} END"
+
+
 _EMAIL_RX = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
 _EMAILS = _unique(f"list_transform(regexp_extract_all({_joined([_open('Email'), _open('Email_Alternatives')])}, '{_EMAIL_RX}'), lambda q: lower(q))")
+_EMAILS_STRICT = _EMAILS.replace("?at[", r"?\bat\b[").replace("?dot[", r"?\bdot\b[")
 _PHONE_RX = r"(?:^|[^\p{L}\p{N}_])(\+?\p{Nd}[\p{Nd}\s\p{Z}()./-]{6,}\p{Nd})"
 _PHONES = _unique(f"regexp_extract_all({_joined([_clean('Phone'), _clean('Phone_Alternatives')])}, '{_PHONE_RX}', 1)")
 _CAND = lambda s: rf"CASE WHEN {s} <> '' AND contains(regexp_extract(CASE WHEN regexp_matches({s}, '(?i)^https?://') THEN {s} ELSE 'https://' || {s} END, '//([^/?#]*)', 1), '.') THEN CASE WHEN regexp_matches({s}, '(?i)^https?://') THEN {s} ELSE 'https://' || {s} END ELSE '' END"
@@ -314,6 +332,8 @@ w AS (SELECT k.* REPLACE (coalesce(list_filter(list_transform(regexp_extract_all
 ORACLE = {
     "email_domains": rf"SELECT row_id, CASE WHEN length({_clean('Email')}) - length(replace({_clean('Email')}, '@', '')) = 1 THEN lower(string_split({_clean('Email')}, '@')[-1]) ELSE '' END AS strict, CASE WHEN contains(Email, '@') THEN string_split({_clean('Email')}, '@')[-1] ELSE '' END AS last, CASE WHEN contains(Email, '@') THEN lower({_strip('substring(Email, instr(Email, chr(64)) + 1)')}) END AS first FROM staging_all_rows",
     "extracted_emails": f"SELECT ID, array_to_string({_EMAILS}, ' | ') AS emails FROM contacts_raw",
+    "plausible_names": f"SELECT ID, {_plausible('Organisation_Name')} AS plausible, {_title('Organisation_Name')} AS title_name FROM contacts_raw",
+    "extracted_emails_strict": f"SELECT ID, array_to_string({_EMAILS_STRICT}, ' | ') AS emails FROM contacts_raw",
     "extracted_phones": f"SELECT ID, array_to_string({_PHONES}, ' | ') AS phones FROM contacts_raw",
     "match_keys": f"SELECT ID, {_key('Organisation_Name')} AS org_key, {_key('Contact_Name')} AS name_key FROM contacts_raw",
     "cleaned_names": f"SELECT ID, {_name('Contact_Name')} AS name, {_org('Organisation_Name')} AS org, array_to_string({_lines('Organisation_Name')}[2:], ' | ') AS leftovers, {_strong('Contact_Name')} AS strong, {_weak('Contact_Name')} AS weak FROM contacts_raw",
