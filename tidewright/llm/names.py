@@ -49,7 +49,7 @@ SHORTEST_SLIP_PART = 4
 ESTABLISHED = 3
 
 #: Bounds of a broadcast here: many lookup tables live side by side, and the driver keeps each until it is collected.
-FEW_ROWS, FEW_BYTES = 20_000, 1 << 20
+FEW_ROWS, FEW_BYTES = 5_000, 256 << 10
 
 _HOST = r"((?:[A-Z0-9](?:[A-Z0-9-]*[A-Z0-9])?\.)++[A-Z]{2,})"
 _EMAIL_HOST = rf"(?i)^[A-Z0-9_%+-]++(?:\.[A-Z0-9_%+-]++)*+@{_HOST}$"
