@@ -80,6 +80,7 @@ def contact_clusters(cleaned: DataFrame, order: str = "ID") -> DataFrame:
         "org_key": match_key("Organisation_Name"), "_key": match_key("Contact_Name"), "_mail": F.lower(clean("Email")), "_order": F.col(order),
         "_kind": F.when(c.is_strong_name(name), "strong").when(c.is_weak_name(name), "weak").otherwise("none"),
     })
+    base = checkpointed(base)  # keys are read by every branch below and computed once
     rows = base.where("org_key <> ''")
     strong = rows.where("_kind = 'strong'").withColumn("cluster", F.concat(F.lit("s:"), F.col("_key")))
     tokens = strong.select("org_key", "cluster", F.explode(F.split("_key", " ")).alias("_key")).distinct()
