@@ -319,7 +319,7 @@ clusters AS (SELECT ID, org_key, cluster FROM named UNION ALL
 
 _B, _E = r"(?:^|[^\p{L}\p{N}_])", r"(?:$|[^\p{L}\p{N}_])"
 _COMPLETE = " + ".join(f"(CASE WHEN regexp_matches(coalesce(Address, ''), '{x}') THEN 1 ELSE 0 END)" for x in (
-    rf"(?i)[A-ZÄÖÜa-zäöüß]{{3,}}{v.STREET_ENDINGS})|[A-ZÄÖÜa-zäöüß]{{3,}}[\s\p{{Z}}]+(?:Straße|Str\.|Weg|Gasse|Platz|Allee|Ring|Damm|Ufer|Steig|Berg)", rf"{_B}\d{{1,4}}[\s\p{{Z}}]*[a-zA-Z]?{_E}", rf"{_B}\d{{5}}{_E}",
+    rf"(?i)[A-ZÄÖÜa-zäöüß]{{3,}}(?:{'|'.join(v.STREET_ENDINGS)})|[A-ZÄÖÜa-zäöüß]{{3,}}[\s\p{{Z}}]+(?:Straße|Str\.|Weg|Gasse|Platz|Allee|Ring|Damm|Ufer|Steig|Berg)", rf"{_B}\d{{1,4}}[\s\p{{Z}}]*[a-zA-Z]?{_E}", rf"{_B}\d{{5}}{_E}",
     rf"Berlin|Hamburg|München|Köln|{_B}[A-ZÄÖÜ][a-zäöüß]{{3,}}{_E}"))
 _FORM = "CASE " + " ".join(f"WHEN regexp_matches(Organisation_Name, '(?i)" + p.replace(r"(?:\b|$)", r"(?:[^\p{L}\p{N}_]|$)") + f"') THEN '{x}'" for p, x, _ in v.LEGAL_FORMS) + " END"
 _HITS = "list_distinct(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(t, '(?i){p}') THEN '{k}' END" for p, k in v.TYPE_WORDS) + "], lambda q: q IS NOT NULL))"
