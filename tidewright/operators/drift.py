@@ -3,8 +3,9 @@
 Each (file, load) has a schema version: its set of headers with the modal JSON type of each, condensed into a fingerprint.
 Versions that follow each other are compared and the differences become explicit migration steps: ``rename`` (the old
 header is gone and a new one holds the same values on the rows both loads share), ``default`` (removed: the field is null
-from then on; added: it was null before) and ``cast`` (the type of most cells changed). A cell of any load reaches the
-newest schema by the chain of its file's steps, folded in order of load.
+from then on; added: it was null before) and ``cast`` (the type of most cells changed). A cell of any load reaches its
+newest header by the chain of its file's renames, folded in order of load; values stay texts, so defaults are nulls and casts
+are reported only.
 
 Work is keyed by (file, load, row), so a file that holds a third of all rows is spread over all tasks; per file only
 schema steps are gathered, whose number does not grow with the rows.
