@@ -80,6 +80,28 @@ def test_radius_join_equals_brute_force(spark):
     assert names.radius_join(u, k.limit(0), "key").count() == 0
 
 
+def test_radius_join_copies_stay_few_where_pivots_tell_little(spark, monkeypatch):
+    r = random.Random(5)
+    keys = sorted({"".join(r.choice("abcdef") for _ in range(r.randint(1, 16))) for _ in range(600)})
+    df, sizes = spark.createDataFrame([(x,) for x in keys], "key string"), []
+    near = {tuple(x) for x in df.crossJoin(df.withColumnRenamed("key", "known_key")).where(F.levenshtein("key", "known_key") <= 2).collect()}
+    cut = names.checkpointed
+    monkeypatch.setattr(names, "checkpointed", lambda d: (sizes.append(d.count()), cut(d))[1])
+    got = names.radius_join(df, df, "key", 2, heavy=2_000, levels=0).select("key", "known_key").collect()
+    assert len(got) == len(near) and {tuple(x) for x in got} == near
+    sizes.clear()
+    got = names.radius_join(df, df, "key", 2, heavy=20_000).select("key", "known_key").collect()
+    assert len(got) == len(near) and {tuple(x) for x in got} == near
+    assert max(sizes, default=0) <= 19 * len(keys)
+
+
+def test_persons_are_parsed_once(spark):
+    texts = spark.createDataFrame([("Anna Berg",), ("Anna Berg",), ("Team",)], "t string")
+    parsed = texts.distinct().withColumn("p", names._parse_persons("t")).where("p.a is not null").select("t", "p.*")
+    assert [tuple(r) for r in parsed.collect()] == [("Anna Berg", "anna", "berg", None)]
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_organisations_and_persons(spark):
     rows = [
         (1, "Blau Werk Altdorf GmbH", "Anna Berg", "anna@blau-werk-altdorf.example", None), (2, "BLAU WERK ALTDORF GMBH", "Berg, Anna", None, "www.blau-werk-altdorf.example"), (3, "Altdorf, Blau Werk (GmbH)", "Fr. Berg", None, None),
