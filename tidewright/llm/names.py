@@ -3,7 +3,7 @@
 Organisations. A row that gives a well-formed address of a domain of the organisation's own is told by that domain (mailbox
 providers are recognised by the many unlike names that use them). Names are brought to a key (damaged encoding undone, legal
 forms, punctuation and case dropped); keys that belong to one domain bring rows without a domain to it. The remaining keys
-are joined to the known ones within an edit radius by metric-space partitioning: rings around the empty key (lengths), then
+are joined to the known ones within an edit radius by metric-space partitioning: rings around the empty key (lengths) and
 segments, then a bounded sample of known keys as pivots divide the cells that would compare too many pairs. Known keys are
 replicated to every cell that may hold one of their pairs (triangle inequality: no pair within the radius is lost), and inside
 a cell an exact radius join runs under the Levenshtein metric, behind cheap bounds on letters and on distances to the pivot.
@@ -156,11 +156,11 @@ def radius_join(unknown: DataFrame, known: DataFrame, key: str, radius: int = RA
     """(scope, key, known_key, distance) of every pair of distinct keys within ``radius`` edits, by metric-space partitioning.
 
     Both sides hold distinct keys and should be checkpointed. Keys meet only where the columns of ``scope`` are equal: each scope
-    is a cell at first. Where more than ``heavy`` pairs would be compared in a cell, it is divided in three ways, one after the
-    other as long as cells are heavy; none loses a pair within the radius:
+    is a cell at first. Where more than ``heavy`` pairs would be compared in a cell, all are divided by rings and segments, and
+    cells that are still heavy by pivots; neither loses a pair within the radius:
 
     * rings: the length of a key is its distance to the empty key, so a key meets the lengths within the radius only;
-    * segments: of ``radius + 1`` segments of an unknown key one at least is untouched and stands in the known key, moved by no
+    * segments of a ring: of ``radius + 1`` segments of an unknown key one at least is untouched and stands in the known key, moved by no
       more than the edits before and after it allow;
     * pivots, ``levels`` times: up to ``pivots`` of the known keys are drawn by hash, each unknown key goes to the cell of its
       nearest pivot, each known key to every cell whose pivot is within its nearest distance plus twice the radius (triangle
@@ -179,36 +179,32 @@ def radius_join(unknown: DataFrame, known: DataFrame, key: str, radius: int = RA
         return sizes.where(F.col("_nu") * F.col("_nk") > heavy).select(*group)
 
     repeated = False
-    for step in range(levels + 2):
+    for _ in range(levels + 1):
         cells = heavy_cells()
         if cells.isEmpty():
             break
-        if step == 0:
-            u = u.withColumn("_ring", F.length(key)).withColumn("cell", F.col("_ring").cast("string"))
-            rings = F.sequence(F.length("known_key") - radius, F.length("known_key") + radius)
-            k = k.withColumn("_ring", F.explode(rings)).withColumn("cell", F.col("_ring").cast("string"))
+        if not repeated:
+            u, k = _segments(u, k, key, radius)
+            repeated = True
             continue
         cells = checkpointed(cells)
         chosen = _small(cells)
-        if step == 1:
-            repeated = True
-            own, copies = _segments(u.join(chosen, group), k.join(chosen, group), key, radius)
-        else:
-            drawn = k.join(chosen, group).groupBy(*group, F.pmod(F.xxhash64("known_key"), F.lit(pivots)).alias("_b")).agg(F.min_by("known_key", F.xxhash64("known_key", F.lit(1))).alias("_p"))
-            centres = _small(checkpointed(drawn.groupBy(*group).agg(F.array_sort(F.collect_list("_p")).alias("_c"))))
-            du = F.transform("_c", lambda p: F.levenshtein(F.col(key), p))
-            own = u.join(centres, group).withColumn("_d", du).withColumn("_du", F.array_min("_d"))
-            place = F.array_position("_d", F.col("_du")).cast("string")
-            own = own.withColumn("cell", F.concat("cell", F.lit("/"), place))
-            dk = F.transform("_c", lambda p: F.levenshtein(F.col("known_key"), p))
-            near = F.transform("_d", lambda d, i: F.when(d <= F.array_min("_d") + 2 * radius, F.struct((i + 1).cast("string").alias("place"), d.alias("_dk"))))
-            copies = k.join(centres, group).withColumn("_d", dk).withColumn("c", F.explode(F.array_compact(near)))
-            copies = copies.withColumn("cell", F.concat("cell", F.lit("/"), "c.place")).withColumn("_dk", F.col("c._dk"))
+        drawn = k.join(chosen, group).groupBy(*group, F.pmod(F.xxhash64("known_key"), F.lit(pivots)).alias("_b")).agg(F.min_by("known_key", F.xxhash64("known_key", F.lit(1))).alias("_p"))
+        centres = _small(checkpointed(drawn.groupBy(*group).agg(F.array_sort(F.collect_list("_p")).alias("_c"))))
+        du = F.transform("_c", lambda p: F.levenshtein(F.col(key), p))
+        own = u.join(centres, group).withColumn("_d", du).withColumn("_du", F.array_min("_d"))
+        place = F.array_position("_d", F.col("_du")).cast("string")
+        own = own.withColumn("cell", F.concat("cell", F.lit("/"), place))
+        dk = F.transform("_c", lambda p: F.levenshtein(F.col("known_key"), p))
+        near = F.transform("_d", lambda d, i: F.when(d <= F.array_min("_d") + 2 * radius, F.struct((i + 1).cast("string").alias("place"), d.alias("_dk"))))
+        copies = k.join(centres, group).withColumn("_d", dk).withColumn("c", F.explode(F.array_compact(near)))
+        copies = copies.withColumn("cell", F.concat("cell", F.lit("/"), "c.place")).withColumn("_dk", F.col("c._dk"))
         u = checkpointed(u.join(chosen, group, "left_anti").unionByName(own.select(*u.columns)))
         k = checkpointed(k.join(chosen, group, "left_anti").unionByName(copies.select(*k.columns)))
-    close = F.coalesce(F.abs(F.col("_du") - F.col("_dk")) <= radius, F.lit(True)) & (F.abs(F.length(key) - F.length("known_key")) <= radius)
-    close = close & (F.bit_count(F.col("_mu").bitwiseXOR(F.col("_mk"))) <= 2 * radius)
-    pairs = u.drop("_ring").join(k.drop("_ring"), group).where(close).withColumn("distance", F.levenshtein(key, "known_key", radius)).where("distance >= 0")
+    # The cheapest bound first. Keys of a ring are within the radius in length.
+    close = F.bit_count(F.col("_mu").bitwiseXOR(F.col("_mk"))) <= 2 * radius
+    close = close & (F.coalesce(F.abs(F.col("_du") - F.col("_dk")) <= radius, F.lit(True)) if repeated else F.abs(F.length(key) - F.length("known_key")) <= radius)
+    pairs = u.join(k, group).where(close).withColumn("distance", F.levenshtein(key, "known_key", radius)).where("distance >= 0")
     pairs = pairs.select(*scope, key, "known_key", "distance")
     return pairs.distinct() if repeated else pairs
 
@@ -219,10 +215,11 @@ def _letters(key: Column) -> Column:
 
 
 def _segments(u: DataFrame, k: DataFrame, key: str, radius: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides of ring cells with the cells of their segments. Segment i of ``radius + 1`` (from 0) stands in a known key that
-    is d letters longer moved by at most i (the edits before it) and by d give or take ``radius - i`` (those after it)."""
+    """Both sides with the cells of their rings and segments. A ring is a length of unknown keys; segment i of ``radius + 1``
+    (from 0) stands in a known key that is d letters longer moved by at most i (the edits before it) and by d give or take
+    ``radius - i`` (those after it)."""
     part = F.floor(F.col("_ring") / (radius + 1)).cast("int")
-    cell = lambda i, text: F.concat("cell", F.lit(f"/{i}:"), text)
+    cell = lambda i, text: F.concat("_ring", F.lit(f"/{i}:"), text)
     size = lambda i: part if i < radius else F.col("_ring") - part * radius
     own = F.array(*[cell(i, F.substr(key, part * i + 1, size(i))) for i in range(radius + 1)])
     longer = F.length("known_key") - F.col("_ring")
@@ -230,7 +227,9 @@ def _segments(u: DataFrame, k: DataFrame, key: str, radius: int) -> tuple[DataFr
         F.when((F.abs(F.lit(m) - longer) <= radius - i) & (part * i + 1 + m >= 1), cell(i, F.substr("known_key", part * i + 1 + m, size(i))))
         for i in range(radius + 1) for m in range(-i, i + 1)
     ]
-    return u.withColumn("cell", F.explode(own)), k.withColumn("cell", F.explode(F.array_distinct(F.array_compact(F.array(*moved)))))
+    rings = F.explode(F.sequence(F.length("known_key") - radius, F.length("known_key") + radius))
+    u = u.withColumn("_ring", F.length(key)).withColumn("cell", F.explode(own)).drop("_ring")
+    return u, k.withColumn("_ring", rings).withColumn("cell", F.explode(F.array_distinct(F.array_compact(F.array(*moved))))).drop("_ring")
 
 
 def organisation_classes(contacts: DataFrame, key: str = "ID") -> DataFrame:
